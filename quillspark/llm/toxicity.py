@@ -198,14 +198,17 @@ def fit(sample: list[tuple[bytes, int]], prior: float | None = None, most_words:
     if not ones or not zeros:
         share = min(max(ones / len(texts) if texts else 1e-3, 1e-3), 1 - 1e-3)
         return ToxicityModel(characters, {}, math.log(share / (1 - share)))
-    sets = [(_features(t, characters), y) for t, y in texts]
-    in_one, in_zero = Counter(w for s, y in sets if y for w in s), Counter(w for s, y in sets if not y for w in s)
+    # texts of label 1 name the candidates; only these are counted, and kept by text, in the others
+    in_one = Counter(w for t, y in texts if y for w in _features(t, characters))
+    in_one = Counter({w: n for w, n in in_one.items() if n >= least})
+    sets = [(_features(t, characters) & in_one.keys(), y) for t, y in texts]
+    in_zero = Counter(w for s, y in sets if not y for w in s)
     strong = []
     for w, n in in_one.items():
         a, b = n / ones, in_zero[w] / zeros
-        p = (n + in_zero[w]) / len(sets)
+        p = (n + in_zero[w]) / len(texts)
         z = (a - b) / math.sqrt(p * (1 - p) * (1 / ones + 1 / zeros) + 1e-12)
-        if n >= least and z >= 4 and a > 4 * b:
+        if z >= 4 and a > 4 * b:
             strong.append((z, w))
     chosen = [w for _, w in sorted(strong, key=lambda x: (-x[0], x[1]))[:most_words]]
     x = np.array([[w in s for w in chosen] for s, _ in sets], float).reshape(len(sets), len(chosen))
