@@ -1,4 +1,301 @@
-"""The registered queries of the text engine and their SQL."""
+"""The registered queries of the text engine, and the same in SQL for DuckDB.
 
-QUERIES = {}
-ORACLE_SQL = {}
+The tables stand in for the engine's inputs: documents for sections, conversations for titles and abstracts, part and a
+small literal table for vocabularies, lineitem for mention spans, embeddings for vectors.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from quillspark.functions import text as T
+from quillspark.operators import analytics, filters, gazetteer, link, recognise, sampling, spans, vocabulary
+from quillspark.sources import records
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+VOCAB = [("C1", "thatin", "thing|Thble", "Concept", 9), ("C2", "Ononst", "inoran", "Concept", 4), ("C3", "inoran", "", "Place", 7), ("C4", "thble", "hehely|ertion", "Gene", 2), ("C5", "orantion", "erly|ING", "Gene", 0), ("C1", "duplicate", "ndre", "Place", 99), ("C6", "anat", "", "Species", 5)]
+FILTER = filters.MentionFilter.of({"_all": {"ndre"}, "Gene": {"ertion"}}, {"_default": 2, "Concept": 5})
+TYPES = {"concept": ["Concept"], "gene": ["Gene", "Protein"], "place": ["Geo"]}
+_V = "(VALUES " + ", ".join(f"({', '.join(repr(x) for x in (*r, i))})" for i, r in enumerate(VOCAB)) + ") v(id, concept, synonyms, type, freq, ord)"
+#: The vocabulary's lookup table in SQL.
+_LOOKUP = f"""vocab AS (SELECT * FROM {_V}), ent AS (SELECT id, arg_min(concept, ord) concept, arg_min(type, ord) AS type, arg_min(freq, ord) freq, min(ord) ord FROM vocab GROUP BY id),
+syn AS (SELECT DISTINCT lower(trim(s)) AS key, id FROM (SELECT id, concept, unnest(string_split(synonyms, '|')) s FROM vocab) WHERE trim(s) <> '' AND lower(trim(s)) <> lower(concept)),
+lookup AS (SELECT lower(concept) AS key, 0 AS strategy, id, concept, type, freq, ord FROM ent UNION ALL SELECT key, 1, id, concept, type, freq, ord FROM syn JOIN ent USING (id))"""
+#: Words of documents with their offsets, and the vocabulary's single-word mentions.
+_MENTIONS = f"""seg AS (SELECT doc_id, unnest(l) w, unnest(range(len(l))) k FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+') l FROM documents)),
+tok AS (SELECT doc_id, w, sum(length(w)) OVER (PARTITION BY doc_id ORDER BY k) - length(w) AS a FROM seg),
+term AS (SELECT lower(t) t, arg_max(id, pos) id, arg_max(concept, pos) concept, arg_max(type, pos) AS type FROM (SELECT id, concept, type, ord * 100 AS pos, concept AS t FROM {_V} UNION ALL SELECT id, concept, type, ord * 100 + 1 + k, s FROM (SELECT id, concept, type, ord, unnest(string_split(synonyms, '|')) s, unnest(range(len(string_split(synonyms, '|')))) k FROM {_V}) WHERE s <> '') GROUP BY lower(t)),
+mention AS (SELECT doc_id, CAST(a AS INT) AS "start", CAST(a + length(w) AS INT) AS "end", w AS text, type AS entity, id AS linked_id, concept AS linked_name FROM tok JOIN term ON lower(w) = t WHERE NOT (t = 'ing' AND w <> upper(w)))"""
+_WHY = "CASE WHEN length(text) < CASE WHEN lower(entity) = 'concept' THEN 5 ELSE 2 END THEN 'too_short' WHEN lower(text) = 'ndre' OR (lower(entity) = 'gene' AND lower(text) = 'ertion') THEN 'blocked' END"
+#: Spans made of order lines: a section of many orders, offsets from line numbers and quantities.
+_SPANS = "SELECT l_orderkey % 500 AS section_id, CAST(l_orderkey % 97 * 7 + l_linenumber * 5 AS INT) AS \"start\", CAST(l_orderkey % 97 * 7 + l_linenumber * 5 + 1 + l_quantity % 5 AS INT) AS \"end\", l_returnflag AS entity, l_linestatus AS model, (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS k, l_discount AS score FROM lineitem"
+
+
+def register(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _vocab(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(VOCAB)], "id string, concept string, synonyms string, type string, freq long, ord int")
+
+
+def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("section_id"), "text")
+
+
+def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = vocabulary.gazetteer_terms(_vocab(spark).withColumn("synonyms", F.replace("synonyms", F.lit("|"), F.lit(" | "))))
+    return gazetteer.match(_sections(spark, sf_dir), terms).withColumn("doc_id", F.col("section_id").cast("long"))
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = F.col("l_orderkey") % 97 * 7 + F.col("l_linenumber") * 5
+    return _table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 500).alias("section_id"), a.cast("int").alias("start"), (a + 1 + F.col("l_quantity") % 5).cast("int").alias("end"), F.col("l_returnflag").alias("entity"), F.col("l_linestatus").alias("model"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 10000000 + F.col("l_partkey")).alias("k"), F.col("l_discount").alias("score"))
+
+
+_TITLES = "SELECT conv_id, max(CASE WHEN turn = 0 THEN trim(regexp_replace(text, '\\s+', ' ', 'g')) END) t, max(CASE WHEN turn = 1 THEN trim(regexp_replace(text, '\\s+', ' ', 'g')) END) a FROM conversations GROUP BY conv_id"
+_GLUED = "CASE WHEN coalesce(t, '') <> '' AND coalesce(a, '') <> '' THEN t || CASE WHEN regexp_matches(t, '[.!?]$') THEN ' ' ELSE '. ' END || a WHEN coalesce(t, '') <> '' THEN t ELSE a END"
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = lambda k: F.max(F.when(F.col("turn") == k, F.col("text")))
+    return _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(one(0).alias("t"), one(1).alias("a")).select(F.col("conv_id").cast("string").alias("oaireid"), F.array("t").alias("titles"), F.array("a").alias("abstracts"))
+
+
+@register(f"SELECT CAST(conv_id AS VARCHAR) AS section_id, {_GLUED} AS section_content_expanded, CAST(conv_id AS VARCHAR) AS oaireid, CASE WHEN coalesce(t, '') <> '' AND coalesce(a, '') <> '' THEN 'title_abstract' WHEN coalesce(t, '') <> '' THEN 'title' ELSE 'abstract' END AS section_type FROM ({_TITLES}) WHERE coalesce(t, '') <> '' OR coalesce(a, '') <> ''")
+def sections_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.title_abstract_sections(_records(spark, sf_dir))
+
+
+@register(f"SELECT CAST(conv_id AS VARCHAR) || '#title' AS section_id, t AS section_content_expanded, CAST(conv_id AS VARCHAR) AS oaireid, 'title' AS section_type FROM ({_TITLES}) WHERE coalesce(t, '') <> '' UNION ALL SELECT CAST(conv_id AS VARCHAR) || '#abstract', a, CAST(conv_id AS VARCHAR), 'abstract' FROM ({_TITLES}) WHERE coalesce(a, '') <> ''")
+def sections_separate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.title_abstract_sections(_records(spark, sf_dir), combine=False)
+
+
+@register("SELECT CAST(doc_id AS VARCHAR) AS section_id, trim(regexp_replace(b.text || CASE WHEN regexp_matches(b.text, '[.!?:]$') THEN ' ' ELSE '. ' END || d.text, '\\s+', ' ', 'g')) AS section_content_expanded, CAST(doc_id AS VARCHAR) AS \"rsNr\", 'legal_text' AS section_type, b.text AS title FROM (SELECT doc_id, trim(text, e' \\n\\t\\r') AS text FROM documents) d JOIN (SELECT item_id, trim(text, e' \\n\\t\\r') AS text FROM benchmark) b ON d.doc_id % 40 = b.item_id WHERE d.text <> '' AND b.text <> ''")
+def legal_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("en_lawText"))
+    b = _table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("en_lawTitle"))
+    return records.legal_sections(d.join(b, F.col("doc_id") % 40 == F.col("item_id")).select(F.col("doc_id").cast("string").alias("rsNr"), "en_lawTitle", "en_lawText"))
+
+
+@register(f'WITH {_MENTIONS} SELECT doc_id, "start", "end", text, entity, linked_id, linked_name FROM mention')
+def gazetteer_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mentions(spark, sf_dir).select("doc_id", "start", "end", "text", "entity", "linked_id", "linked_name")
+
+
+@register()
+def gazetteer_multitoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [("M1", "the thing", "", "Concept", 1, 0), ("M2", "of the", "of the and|in the", "Place", 1, 1), ("M3", "the", "", "Gene", 1, 2)]
+    vocab = spark.createDataFrame(rows, "id string, concept string, synonyms string, type string, freq long, ord int").withColumn("synonyms", F.replace("synonyms", F.lit("|"), F.lit(" | ")))
+    return gazetteer.match(_sections(spark, sf_dir), vocabulary.gazetteer_terms(vocab))
+
+
+@register(f"WITH {_MENTIONS} SELECT entity, count(*) AS total, count(*) FILTER (why IS NULL) AS kept, count(*) FILTER (why = 'too_short') AS too_short, count(*) FILTER (why = 'blocked') AS blocked FROM (SELECT *, {_WHY} AS why FROM mention) GROUP BY entity")
+def mention_filter_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FILTER.stats(_mentions(spark, sf_dir), ["entity"])
+
+
+@register(f"WITH {_MENTIONS}, {_LOOKUP}, kept AS (SELECT *, {_WHY} AS why FROM mention), best AS (SELECT t, arg_min(id, r) AS id FROM (SELECT t, id, row_number() OVER (PARTITION BY t ORDER BY p, strategy, freq DESC, ord, id) r FROM (SELECT DISTINCT lower(text) t, text FROM kept) m, (SELECT unnest([0, 1]) p) q, lookup WHERE key = CASE p WHEN 0 THEN lower(text) WHEN 1 THEN CASE WHEN length(text) < 4 THEN NULL WHEN text LIKE '%ies' THEN lower(left(text, length(text) - 3) || 'y') WHEN text LIKE '%es' AND text NOT LIKE '%ases' THEN lower(left(text, length(text) - 2)) WHEN text LIKE '%s' AND text NOT LIKE '%ss' THEN lower(left(text, length(text) - 1)) END END) GROUP BY t) SELECT entity, count(*) AS total, count(id) AS linked, round(100.0 * count(id) / count(*), 4) AS linked_pct FROM kept LEFT JOIN best ON t = lower(text) WHERE why IS NULL GROUP BY entity")
+def exact_link_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions by gazetteer, filtered, linked anew by exact lookup with variants; the linking rate by type."""
+    kept = FILTER.apply(_mentions(spark, sf_dir)).select("doc_id", "start", "end", "text", "entity")
+    linked = link.exact(kept, _vocab(spark))
+    return linked.groupBy("entity").agg(F.count("*").alias("total"), F.count("linked_id").alias("linked")).withColumn("linked_pct", F.round(100.0 * F.col("linked") / F.col("total"), 4))
+
+
+@register(f"WITH {_LOOKUP} SELECT DISTINCT p_name AS text, first_value(l.id) OVER (PARTITION BY p_name ORDER BY w, strategy, freq DESC, ord, l.id) AS linked_id FROM (SELECT p_name, 0 AS w, lower(p_name) AS key FROM part) p JOIN lookup l USING (key) WHERE FALSE UNION ALL SELECT text, max(id) FROM (SELECT text, arg_min(id, struct_pack(a := strategy, b := -freq, c := ord, d := id)) AS id FROM (SELECT unnest(['thatin', 'THING', 'inoran', 'Ononst', 'none']) AS text) q LEFT JOIN lookup ON key = lower(text) GROUP BY text) GROUP BY text")
+def exact_link_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = spark.createDataFrame([(x, "Concept") for x in ("thatin", "THING", "inoran", "Ononst", "none")], "text string, entity string")
+    return link.exact(asked, _vocab(spark)).select("text", "linked_id")
+
+
+_VAR = ["ifn-γ", "erk1 / 2", "receptors", "therapies", "class", "il - 6 receptors", "θ-wave", "plain"]
+
+
+@register("SELECT * FROM (VALUES ('ifn-γ', 'ifn-γ|ifn-g|ifng'), ('erk1 / 2', 'erk1 / 2|erk1/2'), ('receptors', 'receptors|receptor'), ('therapies', 'therapies|therapy'), ('class', 'class'), ('il - 6 receptors', 'il - 6 receptors|il-6 receptors|il - 6 receptor|il-6 receptor'), ('θ-wave', 'θ-wave|th-wave'), ('plain', 'plain')) t(text, variants)")
+def greek_spacing_plural_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(x,) for x in _VAR], "text string").select("text", F.array_join(T.variants(F.col("text")), "|").alias("variants"))
+
+
+@register("SELECT DISTINCT key, strategy, id, freq FROM (SELECT lower(p_name) AS key, 0 AS strategy, CAST(p_partkey AS VARCHAR) AS id, CAST(p_size AS BIGINT) AS freq FROM part UNION ALL SELECT lower(trim(s)), 1, id, freq FROM (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name, unnest([p_type, p_brand]) s, CAST(p_size AS BIGINT) AS freq FROM part) WHERE trim(s) <> '' AND lower(trim(s)) <> lower(p_name))")
+def vocab_lookup_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("concept"), F.concat_ws("|", "p_type", "p_brand").alias("synonyms"), F.lit("Part").alias("type"), F.col("p_size").alias("freq"), F.col("p_partkey").alias("ord"))
+    return vocabulary.lookup(p).select("key", "strategy", "id", "freq")
+
+
+@register("SELECT CAST(p_partkey AS VARCHAR) AS id, p_type || CASE WHEN p_partkey % 3 = 0 THEN CASE WHEN lower(p_type) = 'promo' THEN '|new' ELSE '|Promo|new' END ELSE '' END AS synonyms FROM part")
+def vocab_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_type").alias("synonyms"), F.col("p_partkey").alias("ord"))
+    add = p.where("ord % 3 = 0").select("id", F.array(F.lit("Promo"), F.lit("new")).alias("add"))
+    return vocabulary.patch(p, add).select("id", "synonyms")
+
+
+@register(f"WITH s AS ({_SPANS}) SELECT section_id, \"start\", \"end\", k FROM s n WHERE entity <> 'R' AND NOT EXISTS (SELECT 1 FROM s g WHERE g.entity = 'R' AND g.section_id = n.section_id AND n.\"start\" < g.\"end\" AND n.\"end\" > g.\"start\")")
+def overlap_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _spans(spark, sf_dir)
+    return spans.without_overlaps(s.where("entity <> 'R'"), s.where("entity = 'R'")).select("section_id", "start", "end", "k")
+
+
+@register(f"WITH s AS ({_SPANS}), m AS (SELECT *, CASE WHEN entity = lag(entity) OVER w AND model = lag(model) OVER w AND \"start\" - lag(\"end\") OVER w BETWEEN 0 AND 1 THEN 0 ELSE 1 END AS b FROM s WINDOW w AS (PARTITION BY section_id ORDER BY \"start\", \"end\", k)), i AS (SELECT *, sum(b) OVER (PARTITION BY section_id ORDER BY \"start\", \"end\", k ROWS UNBOUNDED PRECEDING) AS g FROM m) SELECT section_id, min(\"start\") AS \"start\", arg_max(\"end\", struct_pack(a := \"start\", b := \"end\", c := k)) AS \"end\", arg_min(entity, struct_pack(a := \"start\", b := \"end\", c := k)) AS entity, arg_min(score, struct_pack(a := \"start\", b := \"end\", c := k)) AS score, string_agg(CAST(k AS VARCHAR), ' ' ORDER BY \"start\", \"end\", k) AS text FROM i GROUP BY section_id, g")
+def merge_adjacent_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.merge_adjacent(_spans(spark, sf_dir).withColumn("text", F.col("k").cast("string")), ties=("k",)).select("section_id", "start", "end", "entity", "score", "text")
+
+
+@register(f"SELECT section_id, entity, \"start\", \"end\", min(k) AS k FROM ({_SPANS}) GROUP BY ALL")
+def chunk_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.first_of_span(_spans(spark, sf_dir), ["k"]).select("section_id", "entity", "start", "end", "k")
+
+
+@register(f"WITH s AS (SELECT section_id, \"start\", max(\"end\") AS \"end\" FROM ({_SPANS}) GROUP BY ALL), m AS (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY section_id ORDER BY \"start\", \"end\") <= 1 THEN 0 ELSE 1 END b FROM s), i AS (SELECT *, sum(b) OVER (PARTITION BY section_id ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) g FROM m) SELECT section_id, min(\"start\") AS \"start\", arg_max(\"end\", \"start\") AS \"end\", count(*) AS n FROM i GROUP BY section_id, g")
+def geo_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _spans(spark, sf_dir).groupBy("section_id", "start").agg(F.max("end").alias("end")).select("section_id", "start", "end", F.lit(0.5).alias("score"), F.lit("x").alias("text"))
+    return spans.merge_places(s).select("section_id", "start", "end", F.size(F.split("text", " ")).cast("long").alias("n"))
+
+
+@register("WITH w AS (SELECT doc_id, regexp_extract_all(text, '\\s*\\S+') p FROM documents), c AS (SELECT doc_id, p, unnest(range(CAST(greatest(0, ceil((len(p) - 100) / 75.0)) AS BIGINT) + 1)) AS chunk FROM w WHERE len(p) > 0), t AS (SELECT doc_id, chunk, array_to_string(p[1:chunk * 75], '') a, array_to_string(p[chunk * 75 + 1:chunk * 75 + 100], '') b FROM c) SELECT doc_id, CAST(chunk AS INT) AS chunk, CAST(length(a) + length(b) - length(ltrim(b, e' \\n\\t\\r')) AS INT) AS \"offset\", md5(ltrim(b, e' \\n\\t\\r')) AS text_md5 FROM t")
+def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = recognise.chunks(_sections(spark, sf_dir), 100, 25)
+    return made.select(F.col("section_id").cast("long").alias("doc_id"), "chunk", F.col("offset").cast("int").alias("offset"), F.md5("text").alias("text_md5"))
+
+
+@register(f'WITH {_MENTIONS} SELECT DISTINCT lower(text) AS key, first_value(doc_id) OVER w AS doc_id, first_value("start") OVER w AS "start" FROM mention WINDOW w AS (PARTITION BY lower(text) ORDER BY doc_id, "start")')
+def link_memo_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link.first_uses(_mentions(spark, sf_dir).select("doc_id", "start", "text"), ["doc_id", "start"]).select("key", "doc_id", "start")
+
+
+_TOP = "SELECT q.vec_id AS query, e.vec_id AS entry, round(list_sum(list_transform(range(1, 65), lambda i: CAST(q.embedding[i] AS DOUBLE) * CAST(e.embedding[i] AS DOUBLE))), 4) AS score FROM (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q, embeddings e"
+
+
+def _top(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    e = _table(spark, sf_dir, "embeddings")
+    queries = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    entries = e.select(F.col("vec_id").alias("entry"), F.col("embedding").alias("vector"))
+    return queries, entries, link.top_k(queries, entries, k, 4)
+
+
+@register(f"SELECT query, entry, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, entry) AS rank FROM ({_TOP})) WHERE rank <= 7")
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _top(spark, sf_dir, 7)[2].withColumn("rank", F.col("rank").cast("long"))
+
+
+@register(f"SELECT query, entry, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, entry) AS rank FROM ({_TOP})) WHERE rank = 1 AND score >= 0.5")
+def vector_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link.best_above(_top(spark, sf_dir, 1)[2], 0.5)
+
+
+@register(f"WITH t AS ({_TOP}), c AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, entry) AS rank FROM t QUALIFY rank <= 7), f AS (SELECT t.query, t.entry, t.score, 7 + row_number() OVER (PARTITION BY t.query ORDER BY t.entry) AS rank FROM t LEFT JOIN c ON c.query = t.query AND c.entry = t.entry WHERE t.entry < 5 AND c.entry IS NULL) SELECT query, entry, score, rank FROM c UNION ALL SELECT * FROM f")
+def topk_with_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries, entries, top = _top(spark, sf_dir, 7)
+    return link.with_fallbacks(top, queries, entries.where("entry < 5"), 4).withColumn("rank", F.col("rank").cast("long"))
+
+
+@register("SELECT label, CAST(d - 1 AS INT) AS d, round(avg(CAST(embedding[d] AS DOUBLE)), 4) AS m FROM embeddings, (SELECT unnest(range(1, 65)) AS d) GROUP BY label, d")
+def centroid_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vocabulary.centroids(_table(spark, sf_dir, "embeddings"), "label", "embedding", 4).select("label", F.posexplode("centroid").alias("d", "m"))
+
+
+@register("SELECT * FROM (VALUES ('3', 7, 3), ('[2] x', 7, 2), ('reject', 7, NULL), ('10', 7, 1), ('9', 7, NULL), ('', 7, NULL)) t(answer, n, choice)")
+def llm_answer_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([("3", 7), ("[2] x", 7), ("reject", 7), ("10", 7), ("9", 7), ("", 7)], "answer string, n int").select("answer", "n", T.answer_choice(F.col("answer"), F.col("n")).alias("choice"))
+
+
+@register("SELECT p_partkey, CASE lower(p_type) WHEN 'economy' THEN p_brand = 'Brand#11' OR p_brand = 'Brand#12' ELSE lower(p_brand) = lower(p_type) END AS agrees FROM part")
+def type_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "part").select("p_partkey", link.types_agree(F.col("p_type"), F.col("p_brand"), {"Economy": ["Brand#11", "Brand#12"]}).alias("agrees"))
+
+
+@register(f"WITH s AS ({_SPANS}), a AS (SELECT k AS sample_id, section_id, \"start\" + k % 2 AS \"start\", \"end\", entity AS text FROM s WHERE k % 10 = 1), h AS (SELECT sample_id, CASE WHEN a.\"start\" = s.\"start\" AND a.\"end\" = s.\"end\" THEN 1 ELSE 2 END tier, s.\"start\" ms, s.\"end\" me FROM a JOIN s ON a.section_id = s.section_id AND abs(a.\"start\" - s.\"start\") <= 1 AND abs(a.\"end\" - s.\"end\") <= 1 AND lower(a.text) = lower(s.entity)) SELECT a.sample_id, b.tier, b.ms AS m_start, b.me AS m_end FROM a LEFT JOIN (SELECT sample_id, unnest(min(struct_pack(tier, ms, me))) FROM h GROUP BY sample_id) b USING (sample_id)")
+def annotation_band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _spans(spark, sf_dir)
+    samples = s.where("k % 10 = 1").select(F.col("k").alias("sample_id"), "section_id", (F.col("start") + F.col("k") % 2).cast("int").alias("start"), "end", F.col("entity").alias("text"))
+    return spans.match_mentions(samples, s.withColumn("text", F.col("entity"))).select("sample_id", "tier", "m_start", "m_end")
+
+
+@register(f"SELECT k, left(md5(CAST(section_id AS VARCHAR)), 8) || '#' || \"start\" || '-' || \"end\" AS id, \"start\" AS \"start\", \"end\" AS \"end\" FROM ({_SPANS})")
+def sample_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = _spans(spark, sf_dir).select("k", T.sample_id(F.col("section_id").cast("string"), F.col("start"), F.col("end")).alias("id"))
+    parsed = T.parse_sample_id(F.col("id"))
+    return made.select("k", "id", parsed["start"].alias("start"), parsed["end"].alias("end"))
+
+
+@register(f"WITH {_MENTIONS}, m AS (SELECT doc_id || '-' || \"start\" AS k, text FROM mention) SELECT k, text FROM m QUALIFY row_number() OVER (PARTITION BY lower(text) ORDER BY md5('42#' || k), k) <= 2")
+def mention_cap_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.capped(_mentions(spark, sf_dir).select(F.concat_ws("-", "doc_id", "start").alias("k"), "text"), "k")
+
+
+@register("WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('42#' || doc_id), doc_id) AS n FROM documents) SELECT doc_id, lang FROM r ORDER BY n > greatest(1, 50 // (SELECT count(DISTINCT lang) FROM documents)), md5('42#' || doc_id), doc_id LIMIT 50")
+def stratified_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.stratified(_table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "doc_id", 50)
+
+
+@register(f"WITH {_MENTIONS} SELECT *, total - linked AS unlinked, round(100.0 * linked / total, 4) AS linked_pct FROM (SELECT lower(entity) AS entity, count(*) AS total, count(DISTINCT lower(text)) AS distinct_mentions, count(*) FILTER (linked_id <> 'C4') AS linked FROM mention GROUP BY 1)")
+def type_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.type_stats(_mentions(spark, sf_dir).withColumn("linked_id", F.when(F.col("linked_id") != "C4", F.col("linked_id"))))
+
+
+@register(f"WITH {_MENTIONS} SELECT lower(text) AS term, count(*) AS n FROM mention WHERE linked_id IN ('C4', 'C5') GROUP BY 1 ORDER BY n DESC, term LIMIT 250")
+def top_unlinked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.top_unlinked(_mentions(spark, sf_dir).withColumn("linked_id", F.when(~F.col("linked_id").isin("C4", "C5"), F.col("linked_id"))))
+
+
+@register("WITH l AS (SELECT doc_id, text, lower(text) t FROM documents), s AS (SELECT *, " + ", ".join(f"{' + '.join(f'contains(t, {m!r})::INT' for m in marks)} AS {k}" for k, marks in T.MARKS.items()) + " FROM l) SELECT language, count(*) AS n FROM (SELECT CASE WHEN length(text) < 20 THEN 'unknown' WHEN greatest(en, es, fr, de) < 3 THEN 'unknown' WHEN en = greatest(en, es, fr, de) THEN 'en' WHEN es = greatest(en, es, fr, de) THEN 'es' WHEN fr = greatest(en, es, fr, de) THEN 'fr' ELSE 'de' END AS language FROM s) GROUP BY language")
+def lang_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(T.language(F.col("text")).alias("language")).groupBy("language").agg(F.count("*").alias("n"))
+
+
+@register("SELECT * FROM (VALUES ('hi', 9, 'SKIP'), ('cancer', 3, 'SKIP'), ('abc', 2, 'ABBREV'), ('thatin fever', 1, 'SYNONYM'), ('new fever', 7, 'MISSING'), ('old fever', 1, 'UNKNOWN')) t(term, n, class)")
+def unlinked_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = spark.createDataFrame([("hi", 9), ("cancer", 3), ("abc", 2), ("thatin fever", 1), ("new fever", 7), ("old fever", 1)], "term string, n int")
+    return analytics.classify_unlinked(terms, _vocab(spark))
+
+
+@register(f"WITH a AS (SELECT lower(trim(p_type)) AS type, count(*) AS mentions FROM part GROUP BY 1), b AS (SELECT lower(trim(type)) AS type, count(*) AS entries FROM (SELECT type FROM {_V} UNION ALL SELECT 'promo') GROUP BY 1) SELECT coalesce(a.type, b.type) AS type, mentions, entries, CASE WHEN entries IS NULL THEN 'mentions only' WHEN mentions IS NULL THEN 'vocabulary only' ELSE 'matched' END AS status FROM a FULL JOIN b ON a.type = b.type")
+def type_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.compare_types(_table(spark, sf_dir, "part").select(F.col("p_type").alias("type")), _vocab(spark).select("type").unionByName(spark.createDataFrame([("Promo",)], "type string")))
+
+
+@register("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resume_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.plans.run import pending
+
+    return pending(_table(spark, sf_dir, "documents").select("doc_id", "lang"), _table(spark, sf_dir, "labels"), "doc_id")
+
+
+@register("SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '[\\n\\t]+', ', ', 'g'), '[ \\n\\t\\r]*,[ \\n\\t\\r]*', ', ', 'g'), '[ \\n\\t\\r]{2,}', ' ', 'g'), ' ,;')) AS cleaned FROM pages")
+def affiliation_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", F.md5(T.affiliation(F.col("html"))).alias("cleaned"))
+
+
+@register("SELECT * FROM (VALUES ('http://x/Q42|Q1', 'Q42'), ('Q7', 'Q7'), ('none', ''), ('|Q9', '')) t(raw, qid)")
+def qid_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([("http://x/Q42|Q1",), ("Q7",), ("none",), ("|Q9",)], "raw string").select("raw", T.qid(F.col("raw")).alias("qid"))
+
+
+@register(f"WITH s AS ({_SPANS}), o AS (SELECT * FROM s WHERE section_id < 400) SELECT section_id, \"start\", \"end\", k, model FROM o WHERE model <> 'F' UNION ALL SELECT section_id, \"start\", \"end\", k, 'NewGazetteer' FROM s WHERE entity = 'A' AND section_id IN (SELECT section_id FROM o)")
+def gazetteer_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _spans(spark, sf_dir).select("section_id", "start", "end", "k", "model", "entity")
+    old = s.where("section_id < 400").drop("entity").withColumn("model", F.when(F.col("model") == "F", "OldGazetteer").otherwise(F.col("model")))
+    return spans.replace_gazetteer(old, s.where("entity = 'A'").drop("entity").withColumn("model", F.lit("NewGazetteer")))
+
+
+@register("SELECT doc_id, CAST(len(regexp_extract_all(text, '\\([A-Z]{2,}\\)')) AS BIGINT) AS n FROM documents WHERE len(regexp_extract_all(text, '\\([A-Z]{2,}\\)')) > 0 UNION ALL SELECT -1, 1")
+def acronym_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bracketed capitals by document, and a literal document whose one pair passes the initials test."""
+    d = _table(spark, sf_dir, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"\([A-Z]{2,}\)"), F.lit(0))).cast("long").alias("n")).where("n > 0")
+    one = spark.createDataFrame([(-1, "ECU", "electronic control unit"), (-1, "GHG", "greenhouse gas emissions")], "doc_id long, short string, long_form string")
+    return d.unionByName(one.where(T.is_acronym(F.col("short")) & T.initials_match(F.col("short"), F.col("long_form"))).groupBy("doc_id").agg(F.count("*").alias("n")))
