@@ -1,7 +1,7 @@
 """Line deduplication by content-defined chunks of lines.
 
 A text falls into lines: at newlines, and within long paragraphs after sentence marks. A rolling hash over the hashes
-of the last lines decides where a chunk of lines ends; a newline always ends one. Boundaries therefore follow from the
+of the last two lines decides where a chunk of lines ends; a newline always ends one. Boundaries therefore follow from the
 lines themselves and not from their place, and a passage that moves from text to text is cut alike in all of them.
 Chunks that are found more than once in the corpus are removed everywhere but at their first place (by doc_id, then
 place). A chunk counts if it has ``min_words`` words, and two lines or ``alone_words`` words.
@@ -39,18 +39,19 @@ def chunks(body: bytes, modulus: int = MODULUS, min_words: int = MIN_WORDS, alon
     out: list[tuple[int, int, int]] = []
     digest = xxhash.xxh64_intdigest
     start, begin, before, lines = 0, 0, 0, 0
-    for end in ends:
-        line = body[begin:end]
-        newline = line.endswith(b"\n")
-        h = digest(line.rstrip())
+    closes = [body[e - 1 : e] == b"\n" for e in ends]
+    closes[-1] = True
+    for i, end in enumerate(ends):
+        h = digest(body[begin:end].rstrip())
         lines += 1
-        if newline or end == len(body) or (before * 31 + h) % modulus == 0:
+        # no single line is parted from a paragraph: two lines on either side of a boundary inside it
+        if closes[i] or (lines > 1 and (before * 31 + h) % modulus == 0 and not closes[i + 1]):
             piece = body[start:end].rstrip()
             words = piece.count(b" ") + 1
             if words >= min_words and (lines > 1 or words >= alone_words):
                 out.append((start, start + len(piece), end))
             start, lines = end, 0
-        before = 0 if newline else h
+        before = 0 if closes[i] else h
         begin = end
     return out
 
