@@ -14,7 +14,7 @@ Two fingerprints differ in at most two bits exactly if they share a variant with
 per variant (65 rows a fingerprint) links the same components. Equal fingerprints are one row from the start.
 
 ``near_duplicates`` is the operator for texts: five-word shingles and a similarity of 0.8. Its candidates share four
-signs of the largest margins of the SimHash sums (``bands``), must pass the same pivot test with the wider distance,
+places and signs of the largest margins of the SimHash sums (``bands``), must pass the same pivot test with the wider distance,
 and are verified by the shingles themselves.
 
 Defined results: a null or empty text has the fingerprint 0 and is linked like any other; a null doc_id is linked but
@@ -23,6 +23,7 @@ is never a component's id unless all its members are null; repeated rows come ou
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -32,14 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_batch, batches, checkpointed, text_bytes
+from quillspark.llm.common import as_batch, batches, checkpointed, release, text_bytes
 from quillspark.llm.components import components
 
 SEED = 42
 PIVOTS = [xxhash.xxh64_intdigest(b"pivot %d" % i, SEED) for i in range(16)]
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
-#: Words of 64 SimHash sums for the bands, and the words of each band.
-BAND_WORDS, BANDS = 12, list(combinations(range(12), 4))[7::20][:24]
+#: Words of 64 SimHash sums for the bands; each half word gives a code of six bits, and four codes make a band.
+BAND_WORDS, BANDS = 12, sorted(random.Random(SEED).sample(list(combinations(range(24), 4)), 80))
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32)
 _MIX = np.array([xxhash.xxh64_intdigest(b"word %d" % i, SEED) | 1 for i in range(BAND_WORDS)], np.uint64)
 
@@ -75,16 +76,16 @@ def fingerprint(h: np.ndarray) -> int:
 
 
 def bands(h: np.ndarray) -> list[int]:
-    """Band keys: for 12 words of remixed hashes, the place and sign of the largest margin; four of these a band."""
+    """Band keys: by half word of remixed hashes' sums, the place and sign of the largest margin; four of these a band."""
     mixed = h[None, :] * _MIX[:, None]
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(32)
-    margin = _sums(mixed) * 2 - len(h)
+    margin = (_sums(mixed) * 2 - len(h)).reshape(2 * BAND_WORDS, 32)
     place = np.abs(margin).argmax(axis=1)
-    sign = margin[np.arange(BAND_WORDS), place] > 0
+    sign = margin[np.arange(2 * BAND_WORDS), place] > 0
     code = (place * 2 + sign).tolist()
-    return [b << 28 | code[w] << 21 | code[x] << 14 | code[y] << 7 | code[z] for b, (w, x, y, z) in enumerate(BANDS)]
+    return [b << 24 | code[w] << 18 | code[x] << 12 | code[y] << 6 | code[z] for b, (w, x, y, z) in enumerate(BANDS)]
 
 
 def _signed(x: int) -> int:
@@ -195,17 +196,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, ho
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     texts = docs.select(text_key().alias("node"), body.alias("body"))
     marked = checkpointed(texts.mapInArrow(run, "node long, fp long, bands array<long>").dropDuplicates(["node"]))
-    keyed = marked.select("node", "fp", F.explode("bands").alias("key"))
-    counts = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("hub")).where("n > 1")
-    shared = checkpointed(keyed.join(counts, "key"))
+    keyed = marked.select("node", F.explode("bands").alias("key"))
+    counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = checkpointed(keyed.join(counts, "key")).join(marked.select("node", "fp"), "node")
+    release(docs.sparkSession)
     cold = shared.where(F.col("n") <= hot)
     pairs = cold.select("key", F.col("node").alias("a"), F.col("fp").alias("fa")).join(cold.select("key", F.col("node").alias("b"), F.col("fp").alias("fb")), "key").where("a < b").select("a", "b", "fa", "fb")
-    stars = shared.where((F.col("n") > hot) & (F.col("node") != F.col("hub.node"))).select(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.fp").alias("fa"), F.col("fp").alias("fb"))
+    warm = shared.where(F.col("n") > hot)
+    hubs = warm.groupBy("key").agg(F.min(F.struct("node", "fp")).alias("hub"))
+    stars = warm.join(hubs, "key").where(F.col("node") != F.col("hub.node")).select(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.fp").alias("fa"), F.col("fp").alias("fb"))
     # 0.8 of the shingles in common is an expected angle of 9.7 bits; three standard deviations more are let through
     most = 20
-    both = pairs.unionByName(stars).distinct()
-    both = both.select("*", *[d.alias(f"x{i}") for i, d in enumerate(pivot_distances("fa"))], *[d.alias(f"y{i}") for i, d in enumerate(pivot_distances("fb"))])
-    candidates = checkpointed(both.where(survives("x", "y", most) & (_hamming("fa", "fb") <= most)).select("a", "b"))
+    marked_pairs = pairs.unionByName(stars).select("*", *[d.alias(f"x{i}") for i, d in enumerate(pivot_distances("fa"))], *[d.alias(f"y{i}") for i, d in enumerate(pivot_distances("fb"))])
+    candidates = checkpointed(marked_pairs.where(survives("x", "y", most) & (_hamming("fa", "fb") <= most)).select("a", "b").distinct())
     needed = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct()
     bodies = texts.join(needed, "node", "left_semi").dropDuplicates(["node"])
     return components(_jaccard_pairs(checkpointed(bodies), candidates, width, similarity)).withColumnRenamed("node", "text_key")
