@@ -54,7 +54,7 @@ def propagate(tally: DataFrame, load: list[int], capacity: int, rounds: int) ->
         room = [max(0, capacity - x) for x in load]
         open_ = _by_list(F.col("shard"), room) > 0
         pull = tally.where(open_).groupBy("grp").agg(F.max_by("shard", F.struct("n", F.xxhash64("grp", "shard"))).alias("to"), F.max("n").alias("at"))
-        asked = tally.join(pull, "grp").where("shard <> to")
+        asked = tally.join(pull, "grp").where("shard <> to and n <= at")  # members of a larger part stay
         # grants by target: requests are ordered within hash buckets, most members first between buckets of like gain
         asks = checkpointed(asked.groupBy("grp", "to").agg(F.sum("n").alias("want"), F.first("at").alias("at")).withColumn("gain", F.log2("at").cast("int")))
         by_gain = asks.groupBy("to", "gain", F.pmod(F.xxhash64("grp"), F.lit(256)).alias("b")).agg(F.sum("want").alias("want"))
@@ -79,7 +79,7 @@ def propagate(tally: DataFrame, load: list[int], capacity: int, rounds: int) ->
     return tally
 
 
-def shard(docs: DataFrame, shards: int = 24, rounds: int = 4, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 24, rounds: int = 12, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of ``docs``."""
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = checkpointed(docs.select("doc_id", (F.length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.when(F.col("text").isNull(), F.lit("null")).otherwise(F.md5(body)).alias("grp")))
