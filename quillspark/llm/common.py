@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The whitespace of the word contracts: space and \t\n\v\f\r.
@@ -46,6 +46,16 @@ def text_bytes(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body"))
 
 
+def hashed_share(seed: str, *columns: str) -> Column:
+    """A number from 0 to 1 that the columns' values fix: rows under a share are a sample of that share."""
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 30)) / float(1 << 30)
+
+
+def share_of(wanted: int, there: int) -> float:
+    """The share to draw so that the sample has about ``wanted`` rows; what is drawn never grows with the table."""
+    return min(1.0, wanted / max(there, 1)) if there > wanted else 2.0
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int, max_bytes: int) -> list[tuple[bytes, int]]:
     """At most ``per_class`` labelled texts of each class (0 and 1) for fitting, chosen by the hash of doc_id.
 
@@ -54,12 +64,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     2 x per_class x max_bytes bytes however large the tables are.
     """
     ids = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus != held_out))
-    order = F.xxhash64(F.lit(label), F.col("doc_id"))
-    chosen = None
-    for value in (0, 1):
-        part = ids.where(F.col("label") == value).dropDuplicates(["doc_id"]).orderBy(order, "doc_id").limit(per_class)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    rows = chosen.collect()
+    n = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
+    place = hashed_share(label, "doc_id")
+    some = sum((F.when(F.col("label") == v, share_of(per_class, c)).otherwise(0.0) for v, c in n.items()), F.lit(0.0))
+    by: dict[int, dict[int, float]] = {0: {}, 1: {}}
+    for r in ids.where(place < some).select("doc_id", "label", place.alias("place")).distinct().collect():
+        by[r["label"]][r["doc_id"]] = r["place"]
+    rows = [(d, v) for v, found in by.items() for d, _ in sorted(found.items(), key=lambda x: (x[1], x[0]))[:per_class]]
     if not rows:
         return []
     picked = docs.sparkSession.createDataFrame(rows, "doc_id long, label int")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_batch, batches
+from quillspark.llm.common import as_batch, batches, hashed_share, share_of
 
 ORDERS, BUCKETS = (1, 2, 3), 1 << 14
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
@@ -95,8 +95,10 @@ def fit(rows: list[tuple[str, str]], smoothing: float = 0.5) -> LanguageModel:
 
 def fit_table(docs: DataFrame, modulus: int = 5, held_out: int = 0, most_rows: int = 4000, max_bytes: int = 8192) -> LanguageModel:
     usable = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus != held_out) & F.col("lang").isNotNull() & F.octet_length("text").between(1, max_bytes)
-    picked = docs.where(usable).select("doc_id", "lang", "text").orderBy(F.xxhash64(F.lit("lang"), "doc_id"), "doc_id", "lang").limit(most_rows)
-    sample = [(r["text"], r["lang"]) for r in picked.collect()]
+    n = docs.where(usable).count()
+    picked = docs.where(usable & (hashed_share("lang", "doc_id") < share_of(most_rows, n))).select("doc_id", "lang", "text")
+    rows = sorted(picked.limit(2 * most_rows).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))[:most_rows]
+    sample = [(r["text"], r["lang"]) for r in rows]
     # a language too rare for the sample is learnt from all its rows up to the same bound
     rare = docs.where(usable).groupBy("lang").count().orderBy("count", "lang").limit(200).collect()
     seen = {lang for _, lang in sample}
