@@ -44,7 +44,7 @@ class CachedTokenizer:
 
     _BLANK = re.compile(r"[^\S \n]")
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 250_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most, self.memo = most, {}

@@ -153,7 +153,7 @@ class ToxicityModel:
         """By text, the probability of label 1."""
         rows, codes, words, _ = tokens(body)
         memo, values = self.memo, list(self.weights.values())
-        if len(memo) > 400_000:
+        if len(memo) > 150_000:
             memo.clear()
         hits: dict[int, tuple[int, ...]] = {}
         for i, w in enumerate(words):
@@ -233,6 +233,7 @@ def score(docs: DataFrame, model: ToxicityModel, modulus: int = 5, held_out: int
         for batch in batches(source):
             s = shared.value.score(batch.column(1))
             yield as_batch({"doc_id": batch.column(0), "score": s, "predicted": (s >= threshold).astype(np.int32)})
+        shared.value.memo.clear()  # workers live on, and keep the model
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == held_out, F.lit(False))
     return text_bytes(docs, "doc_id").mapInArrow(run, "doc_id long, score double, predicted int").select("doc_id", held.alias("held_out"), "score", "predicted")
@@ -247,5 +248,6 @@ def accepted(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> D
         for batch in batches(source, "text"):
             body = batch.column(columns.index("text")).cast(pa.binary()).fill_null(b"")
             yield batch.filter(pa.array(shared.value.score(body) < threshold))
+        shared.value.memo.clear()
 
     return docs.mapInArrow(run, schema)
