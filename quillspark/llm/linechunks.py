@@ -1,14 +1,19 @@
-"""Line deduplication by content-defined chunks of lines.
+"""Line deduplication by runs of lines.
+
+A text falls into lines: at newlines, and within paragraphs after sentence marks; blank lines belong to the line before.
+A chunk is a shortest run of lines that counts: from every line on the run that starts there, and up to every line the
+run that ends there. Runs cross newlines, and follow from the lines themselves and not from their place, so a passage
+that moves from text to text is cut alike in all of them. Every repeated run of lines that counts is covered by such
+chunks wholly. A run counts if it has ``min_words`` words and two lines, or ``alone_words`` words. Words are parted by
+blanks of any kind; in scripts without blanks two characters are a word.
 
-A text falls into lines: at newlines, and within long paragraphs after sentence marks. A rolling hash over the hashes
-of the last two lines decides where a chunk of lines ends; a newline always ends one. Boundaries therefore follow from the
-lines themselves and not from their place, and a passage that moves from text to text is cut alike in all of them.
 Chunks that are found more than once in the corpus are removed everywhere but at their first place (by doc_id, then
-place). A chunk counts if it has ``min_words`` words, and two lines or ``alone_words`` words.
+place). Chunks overlap: a run's first place may lose lines to a chunk that is found earlier still, and each removed
+line stays at an earlier place.
 
-Bytes decide: an aggregate by hash keeps the least and the greatest chunk text; only where these are equal, every
-chunk of that hash has the same bytes, and repeats are removed. It combines before the shuffle, so a passage that a
-third of all documents share is one row a task.
+Bytes decide: where a hash is found again, an aggregate keeps the least and the greatest chunk text of it; if these
+differ, no chunk of that hash is removed. It combines before the shuffle, so a passage that a third of all documents
+share is one row a task.
 
 Defined results: null and empty texts stay as they are; rows equal in doc_id and text are one document and keep the
 same; null doc_ids sort first. A document whose every chunk is elsewhere stays with an empty text or what is left.
@@ -19,7 +24,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,32 +31,46 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import as_batch, batches, checkpointed, release
 
-MIN_WORDS, ALONE_WORDS, MODULUS = 8, 20, 3
-_BREAK = re.compile(rb"\n|[.!?][ \t]+")
+MIN_WORDS, ALONE_WORDS = 8, 20
+#: Line ends: newlines, sentence marks before blanks, and the marks of scripts without blanks.
+_BREAK = re.compile("\n|(?:[.!?]|…|؟|۔|।)[\"')\\]]*[ \t]+|。|！|？|｡".encode())
+#: A character of a script without blanks, in UTF-8: Thai, Lao, Burmese, Khmer, kana and Han.
+_DENSE = re.compile(rb"\xe0[\xb8-\xbb].|\xe1[\x80-\x82\x9e\x9f].|\xe3[\x81-\xbf].|[\xe4-\xe9]..|\xf0[\xa0-\xbf]..", re.S)
+
+
+def words(piece: bytes) -> int:
+    """Words between blanks, or half the characters of scripts without blanks if these are more."""
+    return max(len(piece.split()), len(_DENSE.findall(piece)) // 2)
+
+
+def units(body: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Starts of the lines (and the text's end), their ends without blanks, and by line the words and lines before it."""
+    starts, stops, before, whole = [], [], [0], [0]
+    dense = _DENSE.search(body) is not None
+    begin, total = 0, 0
+    for end in [*(m.end() for m in _BREAK.finditer(body)), len(body)]:
+        line = body[begin:end].rstrip()
+        if line:
+            total += words(line) if dense else len(line.split())
+            starts.append(begin)
+            stops.append(begin + len(line))
+            before.append(total)
+            whole.append(len(starts))
+        begin = end
+    return [*starts, len(body)], stops, before, whole
 
 
-def chunks(body: bytes, modulus: int = MODULUS, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS) -> list[tuple[int, int, int]]:
-    """(start, end, next): the bytes of each chunk that counts, blanks at its end left off, and where the next begins."""
-    ends = [m.end() for m in _BREAK.finditer(body)]
-    if not ends or ends[-1] != len(body):
-        ends.append(len(body))
+def chunks(body: bytes, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS) -> list[tuple[int, int, int]]:
+    """(start, end, next): the bytes of each chunk, blanks at its end left off, and where the line after it begins."""
+    starts, stops, before, whole = units(body)
     out: list[tuple[int, int, int]] = []
-    digest = xxhash.xxh64_intdigest
-    start, begin, before, lines = 0, 0, 0, 0
-    closes = [body[e - 1 : e] == b"\n" for e in ends]
-    closes[-1] = True
-    for i, end in enumerate(ends):
-        h = digest(body[begin:end].rstrip())
-        lines += 1
-        # no single line is parted from a paragraph: two lines on either side of a boundary inside it
-        if closes[i] or (lines > 1 and (before * 31 + h) % modulus == 0 and not closes[i + 1]):
-            piece = body[start:end].rstrip()
-            words = piece.count(b" ") + 1
-            if words >= min_words and (lines > 1 or words >= alone_words):
-                out.append((start, start + len(piece), end))
-            start, lines = end, 0
-        before = 0 if closes[i] else h
-        begin = end
+    i = 0
+    for j, stop in enumerate(stops):
+        w, n, from_ = before[j + 1], whole[j + 1], i
+        while i <= j and (w - before[i] >= alone_words or (w - before[i] >= min_words and n - whole[i] > 1)):
+            i += 1
+        # lines from_ to i - 1 first count at j; if none does, the run up to j is that of the last line that counted
+        out.extend((starts[k], stop, starts[j + 1]) for k in range(from_ if from_ < i else max(i - 1, 0), i))
     return out
 
 
@@ -60,13 +78,22 @@ def cut(body: bytes, spans: list[tuple[int, int]]) -> bytes:
     """``body`` without the given spans (start, next); what a removal leaves at the end loses its trailing blanks."""
     kept, at = [], 0
     for a, b in sorted(spans):
-        kept.append(body[at:a])
-        at = b
+        kept.append(body[at:a])  # nothing if the spans overlap
+        at = max(at, b)
     kept.append(body[at:])
     joined = b"".join(kept)
     return joined.rstrip() if at == len(body) else joined
 
 
+def apart(spans: list[tuple[int, int]]) -> int:
+    """How many passages the spans (start, next) make."""
+    n, at = 0, -1
+    for a, b in sorted(spans):
+        n += a > at
+        at = max(at, b)
+    return n
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     return docs.select("doc_id", F.xxhash64(body).alias("tkey"), body.alias("body"))
@@ -74,43 +101,47 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, tkey, spans): by document, the (start, next) of the chunks to remove."""
+    digest = xxhash.xxh64_intdigest
 
-    def texts(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def places(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
-            out: tuple[list, ...] = ([], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             for doc, key, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for a, b, _ in chunks(body):
-                    piece = body[a:b]
-                    for column, value in zip(out, (xxhash.xxh64_intdigest(piece) - (1 << 63), piece, doc, key, a)):
-                        column.append(value)
-            yield as_batch({n: pa.array(v, t) for n, v, t in zip(("h", "piece", "doc_id", "tkey", "start"), out, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()))})
+                found = chunks(body)
+                out[0].extend([digest(body[a:b]) - (1 << 63) for a, b, _ in found])
+                out[1].extend([doc] * len(found))
+                out[2].extend([key] * len(found))
+                for column, values in zip(out[3:], zip(*found)):
+                    column.extend(values)
+            yield as_batch({n: pa.array(v, t) for n, v, t in zip(("h", "doc_id", "tkey", "start", "stop", "next"), out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))})
 
-    def places(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for doc, key, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for a, b, end in chunks(body):
-                    for column, value in zip(out, (xxhash.xxh64_intdigest(body[a:b]) - (1 << 63), doc, key, a, end)):
-                        column.append(value)
-            yield as_batch({n: pa.array(v, t) for n, v, t in zip(("h", "doc_id", "tkey", "start", "stop"), out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))})
+            found = [(s["h"], body[s["start"] : s["stop"]]) for body, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for s in spans]
+            yield as_batch({"h": pa.array([h for h, _ in found], pa.int64()), "piece": pa.array([p for _, p in found], pa.binary())})
 
     keyed = _keyed(docs)
-    found = keyed.mapInArrow(texts, "h long, piece binary, doc_id long, tkey long, start int")
-    first = F.min(F.struct("doc_id", "tkey", "start")).alias("first")
-    least = found.groupBy("h").agg(F.count("*").alias("n"), F.min("piece").alias("low"), F.max("piece").alias("high"), first)
-    same = checkpointed(least.where("n > 1 and low = high").select("h", "first"))
+    placed = keyed.mapInArrow(places, "h long, doc_id long, tkey long, start int, stop int, next int")
+    counted = placed.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tkey", "start")).alias("first"))
+    again = checkpointed(counted.where("n > 1").select("h", "first"))
     release(docs.sparkSession)
-    placed = keyed.mapInArrow(places, "h long, doc_id long, tkey long, start int, stop int")
     here = F.struct("doc_id", "tkey", "start")
-    gone = placed.join(same, "h").where(~here.eqNullSafe(F.col("first")))
-    spans = gone.groupBy("doc_id", "tkey").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
-    done = checkpointed(spans)
+    met = placed.join(again, "h").select("doc_id", "tkey", F.struct("start", "stop", "next", "h", here.eqNullSafe(F.col("first")).alias("first")).alias("span"))
+    spans = checkpointed(met.groupBy("doc_id", "tkey").agg(F.collect_set("span").alias("spans")))
+    release(docs.sparkSession)
+    of = spans.withColumnsRenamed({"doc_id": "_doc", "tkey": "_tkey"})
+    pieces = keyed.join(of, keyed["doc_id"].eqNullSafe(of["_doc"]) & (keyed["tkey"] == of["_tkey"])).select("body", "spans").mapInArrow(texts, "h long, piece binary")
+    unlike = checkpointed(pieces.groupBy("h").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).where("low <> high").select("h"))
     release(docs.sparkSession)
-    return done
+    gone = spans.select("doc_id", "tkey", F.filter("spans", lambda s: ~s["first"]).alias("spans"))
+    if not unlike.isEmpty():
+        single = gone.select("doc_id", "tkey", F.explode("spans").alias("s")).join(unlike, F.col("s.h") == F.col("h"), "left_anti")
+        gone = single.groupBy("doc_id", "tkey").agg(F.collect_set("s").alias("spans"))
+    return gone.where(F.size("spans") > 0).select("doc_id", "tkey", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["next"].alias("stop"))).alias("spans"))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs``, all columns kept, its text without repeated chunks, and removed_chunks.
+    """Every row of ``docs``, all columns kept, its text without repeated chunks, and removed_chunks (chunks that touch count once).
 
     n_chars, where there is such a column, is that of the new text if chunks were removed.
     """
@@ -120,7 +151,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         for batch in batches(source, "_text"):
             made = [body if not spans else cut(body, [(s["start"], s["stop"]) for s in spans]) for body, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             rest = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i > 1}
-            yield as_batch({"_text": pa.array(made, pa.binary()), "_removed": pa.array([len(s) if s else 0 for s in batch.column(1).to_pylist()], pa.int32()), **rest})
+            yield as_batch({"_text": pa.array(made, pa.binary()), "_removed": pa.array([apart([(x["start"], x["stop"]) for x in s]) if s else 0 for s in batch.column(1).to_pylist()], pa.int32()), **rest})
 
     own = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
     gone = repeated(docs).withColumnsRenamed({"doc_id": "_doc", "tkey": "_tkey"})

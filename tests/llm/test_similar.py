@@ -150,3 +150,37 @@ def test_line_chunks_against_brute_force(sf):
                 first[body[a:b]] = doc
         want[doc] = linechunks.cut(body, spans).decode() if spans else body.decode()
     assert {r.doc_id: r.text for r in linechunks.dedup(sf("documents")).collect()} == want
+
+
+def invented(rng, n):
+    return " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n))
+
+
+def test_passages_of_short_lines(spark):
+    rng = random.Random(11)
+    tabbed = "\n".join("\t".join(invented(rng, 10).split()) for _ in range(8))
+    han = "。".join("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(14)) for _ in range(6)) + "。"
+    for passage in ("\n".join(invented(rng, 10) for _ in range(8)), "\n\n".join(invented(rng, 3) for _ in range(20)), tabbed, han):
+        rows = [(i, f"{invented(rng, 30)}.\n{passage}\n{invented(rng, 30)}.") for i in range(20)]
+        got = {r.doc_id: r for r in linechunks.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got[0].text == rows[0][1]
+        for i, text in rows[1:]:
+            assert got[i].text == text.replace(passage + "\n", "") and got[i].removed_chunks == 1
+
+
+def test_chunks_cover_every_run_that_counts():
+    rng = random.Random(12)
+    for _ in range(300):
+        lines = [invented(rng, rng.randrange(1, 25)) + "." for _ in range(rng.randrange(1, 12))]
+        body = "".join(x + rng.choice([" ", "\n", "\n\n"]) for x in lines).encode()
+        at = [body.index(x.encode()) for x in lines] + [len(body)]
+        spans = linechunks.chunks(body)
+        assert len(spans) == len(set(spans)) <= 2 * len(lines)
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                n, end = sum(len(x.split()) for x in lines[i : j + 1]), at[j] + len(lines[j])
+                inside = [(a, c) for a, b, c in spans if a >= at[i] and b <= end]
+                counts = n >= 20 or (n >= 8 and j > i)
+                assert bool(inside) == counts
+                if counts:
+                    assert linechunks.cut(body[: at[j + 1]], inside) == body[: at[i]].rstrip() and linechunks.apart(inside) == 1
