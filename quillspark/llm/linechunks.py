@@ -7,6 +7,9 @@ that moves from text to text is cut alike in all of them. Every repeated run of
 chunks wholly. A run counts if it has ``min_words`` words and two lines, or ``alone_words`` words. Words are parted by
 blanks of any kind; in scripts without blanks two characters are a word.
 
+A line of 50 words or more without such a mark falls into parts of about four words where a rolling hash over two words
+says so; a part is no line, so only runs of ``alone_words`` words find it again.
+
 Chunks that are found more than once in the corpus are removed everywhere but at their first place (by doc_id, then
 place). Chunks overlap: a run's first place may lose lines to a chunk that is found earlier still, and each removed
 line stays at an earlier place.
@@ -22,6 +25,7 @@ same; null doc_ids sort first. A document whose every chunk is elsewhere stays w
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,30 +36,51 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import as_batch, batches, checkpointed, release
 
 MIN_WORDS, ALONE_WORDS = 8, 20
+#: From how many words on a line is cut into parts, and of about how many words each.
+LONG_WORDS, PART = 50, 4
 #: Line ends: newlines, sentence marks before blanks, and the marks of scripts without blanks.
 _BREAK = re.compile("\n|(?:[.!?]|…|؟|۔|।)[\"')\\]]*[ \t]+|。|！|？|｡".encode())
 #: A character of a script without blanks, in UTF-8: Thai, Lao, Burmese, Khmer, kana and Han.
 _DENSE = re.compile(rb"\xe0[\xb8-\xbb].|\xe1[\x80-\x82\x9e\x9f].|\xe3[\x81-\xbf].|[\xe4-\xe9]..|\xf0[\xa0-\xbf]..", re.S)
 
+_WORD = re.compile(rb"(?:%s|(?:(?!%s)\S)+)\s*" % (_DENSE.pattern, _DENSE.pattern), re.S)
+
 
 def words(piece: bytes) -> int:
     """Words between blanks, or half the characters of scripts without blanks if these are more."""
     return max(len(piece.split()), len(_DENSE.findall(piece)) // 2)
 
 
+def parts(line: bytes) -> list[bytes]:
+    """A long line cut after words, where a rolling hash over two words (or characters without blanks) says so."""
+    out, begin, last = [], 0, 0
+    for m in _WORD.finditer(line):
+        now = zlib.crc32(m[0].rstrip())
+        if not zlib.crc32(m[0].rstrip(), last) % PART:
+            out.append(line[begin : m.end()])
+            begin = m.end()
+        last = now
+    if begin < len(line):
+        out.append(line[begin:])
+    return out
+
+
 def units(body: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Starts of the lines (and the text's end), their ends without blanks, and by line the words and lines before it."""
+    """Starts of the lines and parts (and the text's end), their ends without blanks, and before each the words and whole lines."""
     starts, stops, before, whole = [], [], [0], [0]
     dense = _DENSE.search(body) is not None
     begin, total = 0, 0
     for end in [*(m.end() for m in _BREAK.finditer(body)), len(body)]:
         line = body[begin:end].rstrip()
         if line:
-            total += words(line) if dense else len(line.split())
-            starts.append(begin)
-            stops.append(begin + len(line))
-            before.append(total)
-            whole.append(len(starts))
+            n = words(line) if dense else len(line.split())
+            for piece in parts(line) if n >= LONG_WORDS else (line,):
+                total += n if piece is line else words(piece)
+                starts.append(begin)
+                stops.append(begin + len(piece.rstrip()))
+                before.append(total)
+                whole.append(whole[-1] + (piece is line))
+                begin += len(piece)
         begin = end
     return [*starts, len(body)], stops, before, whole
 

@@ -184,3 +184,25 @@ def test_chunks_cover_every_run_that_counts():
                 assert bool(inside) == counts
                 if counts:
                     assert linechunks.cut(body[: at[j + 1]], inside) == body[: at[i]].rstrip() and linechunks.apart(inside) == 1
+
+
+def test_passages_within_paragraphs_and_unmarked_text(spark):
+    rng = random.Random(13)
+    kept = total = 0
+    for marked in (True, False):
+        dot = "." if marked else ""
+        rows, passages = [], []
+        for i in range(30):
+            passages.append(" ".join(invented(rng, 12) + dot for _ in range(5)))
+            for k in range(2):
+                rows.append((2 * i + k, f"{invented(rng, 120)}{dot} {passages[-1]} {invented(rng, 120)}{dot}"))
+        got = {r.doc_id: r.text for r in linechunks.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        for i, passage in enumerate(passages):
+            assert got[2 * i] == rows[2 * i][1]
+            if marked:
+                assert got[2 * i + 1] == rows[2 * i + 1][1].replace(passage + " ", "")
+            else:  # words at the passage's ends stay, and nothing else is lost
+                left = got[2 * i + 1].split()
+                assert not set(rows[2 * i + 1][1].split()) - set(passage.split()) - set(left)
+                kept, total = kept + len(left) - 240, total + 60
+    assert kept < 0.25 * total
