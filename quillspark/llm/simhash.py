@@ -23,6 +23,7 @@ is never a component's id unless all its members are null; repeated rows come ou
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 from itertools import combinations
@@ -41,6 +42,8 @@ PIVOTS = [xxhash.xxh64_intdigest(b"pivot %d" % i, SEED) for i in range(16)]
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 #: Words of 64 SimHash sums for the bands; each half word gives a code of six bits, and four codes make a band.
 BAND_WORDS, BANDS = 12, sorted(random.Random(SEED).sample(list(combinations(range(24), 4)), 80))
+#: Buckets of the counts that order shingles from rare to common.
+SKETCH = 1 << 20
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32)
 _MIX = np.array([xxhash.xxh64_intdigest(b"word %d" % i, SEED) | 1 for i in range(BAND_WORDS)], np.uint64)
 
@@ -173,14 +176,78 @@ def _jaccard_pairs(texts: DataFrame, pairs: DataFrame, width: int, similarity: f
     return with_b.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def _sketch(warm: DataFrame, width: int) -> np.ndarray:
+    """By bucket of shingle hashes, in how many of the texts (node, body) they are: fixed size, whatever the input."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SKETCH, np.int64)
+        for batch in batches(source):
+            for body in batch.column(1).to_pylist():
+                np.add.at(total, (np.unique(hashes(body, width)) % np.uint64(SKETCH)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        for i in range(0, len(at), 65536):
+            part = at[i : i + 65536]
+            yield as_batch({"bucket": pa.array(part, pa.int32()), "n": pa.array(total[part], pa.int64())})
+
+    counted = warm.select("node", "body").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SKETCH, np.int64)
+    counts[np.asarray(counted.column("bucket"))] = np.asarray(counted.column("n"))
+    return counts
+
+
+def prefix_lengths(n: int, similarity: float) -> tuple[int, int]:
+    """How many of the rarest of ``n`` shingles to compare, where the other text is as long or longer, and at all.
+
+    Two sets of a Jaccard similarity of t share t / (1 + t) of their sizes' sum: at least 2t / (1 + t) of the smaller
+    one's and t of the larger one's shingles. Both then have a shingle in common among the first of any fixed order.
+    """
+    return n - math.ceil(2 * similarity / (1 + similarity) * n - 1e-9) + 1, n - math.ceil(similarity * n - 1e-9) + 1
+
+
+def prefix_pairs(warm: DataFrame, roots: DataFrame, width: int, similarity: float, block: int = 2000) -> DataFrame:
+    """(a, b): all pairs of the texts (node, body) that can be near and aren't linked in ``roots`` (node, root) yet.
+
+    An exact prefix filter: rarest shingles first, as a sketch counts them (any order is exact). Shingles of more than
+    ``block`` texts are joined block by block.
+    """
+    shared = warm.sparkSession.sparkContext.broadcast(_sketch(warm, width))
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches(source):
+            key, node, size, short = [], [], [], []
+            for k, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h = np.unique(hashes(body, width))
+                if len(h):
+                    first, most = prefix_lengths(len(h), similarity)
+                    rare = h[np.lexsort((h, counts[(h % np.uint64(SKETCH)).astype(np.int64)]))[:most]]
+                    key.append(rare.view(np.int64))
+                    node.append(np.full(len(rare), k, np.int64))
+                    size.append(np.full(len(rare), len(h), np.int32))
+                    short.append(np.arange(len(rare)) < first)
+            if key:
+                yield as_batch({n: pa.array(np.concatenate(v)) for n, v in zip(("key", "node", "size", "short"), (key, node, size, short))})
+
+    marked = warm.select("node", "body").mapInArrow(run, "key long, node long, size int, short boolean")
+    rooted = marked.join(roots, "node", "left").select("key", "node", "size", "short", F.coalesce("root", "node").alias("root"))
+    rows = checkpointed(rooted)
+    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    met = rows.join(mixed.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    left = met.where("short").select("key", F.col("own").alias("i"), every.alias("j"), F.col("node").alias("x"), F.col("size").alias("nx"), F.col("root").alias("rx"))
+    right = met.select("key", F.col("own").alias("j"), every.alias("i"), F.col("node").alias("y"), F.col("size").alias("ny"), F.col("root").alias("ry"))
+    close = (F.col("rx") != F.col("ry")) & (F.col("nx") <= F.col("ny")) & (F.col("nx") >= similarity * F.col("ny") - 1e-6)
+    return checkpointed(left.join(right, ["key", "i", "j"]).where(close).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, hot: int = 64) -> DataFrame:
     """text_key and root for every distinct text that is near another: equal roots, one near-duplicate group.
 
     Texts are near if the Jaccard similarity of their ``width``-word shingle sets is ``similarity`` or more; groups
     are the components of these links. text_key is the XXH64 of the text's bytes with a second seed mixed in
-    (``text_key``). Band keys of more than ``hot`` distinct texts are compared with the key's least text instead of
-    pairwise; a text that differs from it by more still meets its neighbours in the other bands.
-    Candidates are found with a probability: measured recall is in the README.
+    (``text_key``). Band keys of more than ``hot`` distinct texts are compared with the key's least text, which links
+    most copies; what that leaves apart is compared by ``prefix_pairs``, which misses no pair of texts with such keys.
+    Candidates of the other keys are found with a probability: measured recall is in the README.
     """
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,8 +277,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, ho
     marked_pairs = pairs.unionByName(stars).select("*", *[d.alias(f"x{i}") for i, d in enumerate(pivot_distances("fa"))], *[d.alias(f"y{i}") for i, d in enumerate(pivot_distances("fb"))])
     candidates = checkpointed(marked_pairs.where(survives("x", "y", most) & (_hamming("fa", "fb") <= most)).select("a", "b").distinct())
     needed = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct()
-    bodies = texts.join(needed, "node", "left_semi").dropDuplicates(["node"])
-    return components(_jaccard_pairs(checkpointed(bodies), candidates, width, similarity)).withColumnRenamed("node", "text_key")
+    bodies = checkpointed(texts.join(needed, "node", "left_semi").dropDuplicates(["node"]))
+    edges = checkpointed(_jaccard_pairs(bodies, candidates, width, similarity))
+    roots = components(edges)
+    crowded = checkpointed(warm.select("node").distinct())
+    if crowded.isEmpty():
+        return roots.withColumnRenamed("node", "text_key")
+    roots = checkpointed(roots)
+    release(docs.sparkSession)
+    held = checkpointed(texts.join(crowded, "node", "left_semi").dropDuplicates(["node"]))
+    more = _jaccard_pairs(held, prefix_pairs(held, roots, width, similarity), width, similarity)
+    linked = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(checkpointed(linked.unionByName(more))).withColumnRenamed("node", "text_key")
 
 
 def text_key() -> Column:

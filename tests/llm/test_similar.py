@@ -206,3 +206,40 @@ def test_passages_within_paragraphs_and_unmarked_text(spark):
                 assert not set(rows[2 * i + 1][1].split()) - set(passage.split()) - set(left)
                 kept, total = kept + len(left) - 240, total + 60
     assert kept < 0.25 * total
+
+
+@pytest.fixture(scope="module")
+def family():
+    """500 texts of a template of 200 words with 40 words of their own, and copies of 40 of them at a Jaccard of 0.86 or so."""
+    rng = random.Random(14)
+    common = [f"c{k}" for k in range(200)]
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(20)] + common + [f"w{rng.randrange(10**6)}" for _ in range(20)] for _ in range(500)]
+    for k in range(40):
+        copy = list(texts[k])
+        for at in (5, 60 + 3 * k, 235):
+            copy[at] = f"x{k}"
+        texts.append(copy)
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("block", [60, 2000])
+def test_prefix_pairs_against_brute_force(spark, family, block):
+    rng = random.Random(15)
+    texts = family[:60] + family[500:] + [" ".join(rng.choice("ab") for _ in range(rng.randrange(1, 60))) for _ in range(120)]
+    texts = sorted(set(texts))
+    sets = [set(simhash.shingles(t.encode(), 5)) for t in texts]
+    frame = spark.createDataFrame([(k, t.encode()) for k, t in enumerate(texts)], "node long, body binary")
+    none = spark.createDataFrame([], "node long, root long")
+    got = {(r.a, r.b) for r in simhash.prefix_pairs(frame, none, 5, 0.8, block // 10).collect()}
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert len(want) >= 40 and want <= got
+    linked = spark.createDataFrame([(j, i) for i, j in want] + [(i, i) for i, _ in want], "node long, root long").dropDuplicates(["node"])
+    assert simhash.prefix_pairs(frame, linked, 5, 0.8).count() < len(got)
+
+
+def test_near_duplicates_in_a_family_with_hot_keys(spark, family):
+    docs = spark.createDataFrame(list(enumerate(family)), "doc_id long, text string")
+    roots = {r.text_key: r.root for r in simhash.near_duplicates(docs, hot=4).collect()}
+    keys = {r.doc_id: r.k for r in docs.select("doc_id", simhash.text_key().alias("k")).collect()}
+    assert all(roots[keys[k]] == roots[keys[500 + k]] for k in range(40))
+    assert len({roots.get(keys[k], keys[k]) for k in range(500)}) == 500
