@@ -3,11 +3,11 @@
 A writer hides words by leetspeak (1d10t), separators and spacing (i.d.i.o.t, "i d i o t") and repetition (idiooot).
 Every suspicious token becomes a character lattice - each observed character may stand for itself, for the letters it
 resembles, or for nothing - and the Viterbi algorithm finds the likeliest letters under a character trigram model of
-the corpus' words. The restored words are then scored: a logistic model over the presence of the words that tell the
-labels apart.
+the words of all documents. The restored words are then scored: a logistic model over the presence of the words that
+tell the labels apart.
 
-The fit takes at most ``per_class`` labelled texts of each class of at most ``max_bytes`` bytes (the documented
-bounds); scoring takes whole texts.
+Trigrams are counted over all documents, whole. The classifier's fit takes at most ``per_class`` labelled texts of each
+class of at most ``max_bytes`` bytes (the documented bounds); scoring takes whole texts.
 
 Defined results: a null or empty text has the model's base score; null doc_ids are scored and not held out; repeated
 rows are scored each; without labels of both classes the score is the share of label 1 (0 without labels).
@@ -57,12 +57,25 @@ class CharacterModel:
         return c
 
 
-def fit_characters(words: Counter) -> CharacterModel:
+def plain(word: str) -> bool:
+    """Whether the character model learns from a lower-cased token: letters only, none three times running."""
+    return _PLAIN.fullmatch(word) is not None and _TRIPLE.search(word) is None
+
+
+def trigrams(words: dict[str, int]) -> Counter:
     tri: Counter = Counter()
     for word, n in words.items():
         padded = "  " + word + " "
         for i in range(len(padded) - 2):
             tri[padded[i : i + 3]] += n
+    return tri
+
+
+def fit_characters(words: dict[str, int]) -> CharacterModel:
+    return character_model(trigrams(words))
+
+
+def character_model(tri: dict[str, int]) -> CharacterModel:
     head: Counter = Counter()
     pair: Counter = Counter()
     first: Counter = Counter()
@@ -185,14 +198,15 @@ def _features(text: str, model: CharacterModel) -> set[str]:
     return {f for t in set(text.lower().split()) for f in features(restore(t, model)) if f}
 
 
-def fit(sample: list[tuple[bytes, int]], prior: float | None = None, most_words: int = 160, least: int = 5) -> ToxicityModel:
-    """Character model and word weights of a labelled sample; ``prior`` is the share of label 1 to calibrate to.
+def fit(sample: list[tuple[bytes, int]], prior: float | None = None, least: int = 5, characters: CharacterModel | None = None) -> ToxicityModel:
+    """Word weights of a labelled sample; ``prior`` is the share of label 1 to calibrate to.
 
+    ``characters`` is the character model of the whole corpus; without it, one of the sample's words is fitted.
     Words must be at least ``least`` times in texts of label 1 and pass a test of four standard errors.
     """
     texts = [(t.decode("utf-8", "replace"), y) for t, y in sample]
-    plain = Counter(w for t, _ in texts for w in t.lower().split() if _PLAIN.fullmatch(w) and not _TRIPLE.search(w))
-    characters = fit_characters(plain or Counter({"a": 1}))
+    if characters is None:
+        characters = fit_characters(Counter(w for t, _ in texts for w in t.lower().split() if plain(w)) or {"a": 1})
     ones = sum(y for _, y in texts)
     zeros = len(texts) - ones
     if not ones or not zeros:
@@ -210,7 +224,7 @@ def fit(sample: list[tuple[bytes, int]], prior: float | None = None, most_words:
         z = (a - b) / math.sqrt(p * (1 - p) * (1 / ones + 1 / zeros) + 1e-12)
         if z >= 4 and a > 4 * b:
             strong.append((z, w))
-    chosen = [w for _, w in sorted(strong, key=lambda x: (-x[0], x[1]))[:most_words]]
+    chosen = [w for _, w in sorted(strong, key=lambda x: (-x[0], x[1]))]
     x = np.array([[w in s for w in chosen] for s, _ in sets], float).reshape(len(sets), len(chosen))
     x = np.hstack([x, x.max(axis=1, keepdims=True, initial=0)])
     y = np.array([v for _, v in sets], float)
@@ -221,8 +235,27 @@ def fit(sample: list[tuple[bytes, int]], prior: float | None = None, most_words:
     return ToxicityModel(characters, dict(zip(chosen, w.tolist())), intercept, float(w[-2]))
 
 
+def count_trigrams(docs: DataFrame) -> dict[str, int]:
+    """How often each trigram is in the plain words of all documents; counted by task, then summed."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tri: Counter = Counter()
+        for batch in batches(source):
+            _, codes, words, _ = tokens(batch.column(0))
+            counts = np.bincount(codes, minlength=len(words)).tolist()
+            tri.update(trigrams({w: n for w, n in zip(words, counts) if n and plain(w)}))
+            if len(tri) > 500_000:
+                yield as_batch({"tri": pa.array(list(tri), pa.string()), "n": pa.array(list(tri.values()), pa.int64())})
+                tri.clear()
+        yield as_batch({"tri": pa.array(list(tri), pa.string()), "n": pa.array(list(tri.values()), pa.int64())})
+
+    found = text_bytes(docs).mapInArrow(run, "tri string, n long").groupBy("tri").agg(F.sum("n").alias("n")).toArrow()
+    return dict(zip(found.column("tri").to_pylist(), found.column("n").to_pylist()))
+
+
 def fit_tables(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 5, held_out: int = 0, per_class: int = 2000, max_bytes: int = 16384) -> ToxicityModel:
-    return fit(labelled_sample(docs, labels, label, modulus, held_out, per_class, max_bytes))
+    sample = labelled_sample(docs, labels, label, modulus, held_out, per_class, max_bytes)
+    return fit(sample, characters=character_model(count_trigrams(docs) or trigrams({"a": 1})))
 
 
 def score(docs: DataFrame, model: ToxicityModel, modulus: int = 5, held_out: int = 0, threshold: float = 0.5) -> DataFrame:

@@ -78,3 +78,17 @@ def test_odd_rows_and_empty_tables(odd, none, no_labels):
     for frame in (quality.score(none, q), toxicity.score(none, t), langid.predict(none, langid.fit_table(none))):
         assert frame.count() == 0
     assert {r.lang_pred for r in langid.predict(odd, langid.fit_table(none)).collect()} == {"und"}
+
+
+def test_toxicity_counts_trigrams_of_all_documents_and_keeps_all_words(spark):
+    bad = ["".join(chr(97 + (k * 7 + i * (3 + k % 5)) % 26) for i in range(6)) + chr(97 + k // 26) + chr(97 + k % 26) for k in range(200)]
+    rows = [(i, f"fine words here {' '.join(bad[i % 40 :: 40])}" if i % 2 else "fine words here and there") for i in range(1200)]
+    rows += [(5000, "żółw жук żółw"), (5001, "x" * 20000 + " straße")]  # no labels, and over the sample's bytes
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1200)], "doc_id long, toxic int")
+    counts = toxicity.count_trigrams(docs)
+    assert counts["żół"] == 2 and counts["жук"] == 1 and counts["fin"] == 1200 and counts["ße "] == 1 and "xxx" not in counts
+    model = toxicity.fit_tables(docs, labels)
+    assert "жук" in model.characters.costs and "aße" in model.characters.costs
+    assert set(bad[1::2]) <= model.known  # texts of odd ids have these; more than 160 features with their beginnings
+    assert len(model.weights) > 160
