@@ -92,7 +92,6 @@ def test_mixed_documents_have_the_words_taken(sf, odd, none):
 
 def test_packing(sf, odd, none):
     tokenizer = Tokenizer.from_file(packing.TOKENIZER)
-    tokenizer.encode_special_tokens = True
     for docs in (sf("documents"), odd.where("doc_id is not null").dropDuplicates(["doc_id"])):
         rows = packing.pack(docs).collect()
         ids = {r.doc_id: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 2] for r in docs.collect()}
@@ -139,13 +138,18 @@ def test_sum_of_squares_places_each_piece_where_the_sum_is_least():
         gap[b] -= int(lengths[i])
 
 
-def test_odd_blanks_are_tokenized_alike():
-    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    cached = packing.CachedTokenizer(packing.TOKENIZER, most=3)
-    texts = ["", " ", "  a b", "a  b", "a \n b", "a\tb c", " x", "y ", "\n", "a\n\nb", "it's  don't", "<|endoftext|> a", "\x1cb \x85c", "a　 b", "a\nb c\nd e", "é è\nç"]
+def test_ids_are_those_of_the_tokenizer_file(spark):
+    plain, fast = Tokenizer.from_file(packing.TOKENIZER), packing.FastTokenizer(packing.TOKENIZER)
+    assert fast.fast is not None
+    texts = ["", " ", "  a b", "a  b", "a \n b", "a\tb c", " x", "y ", "\n", "a\n\nb", "it's  don't", "<|endoftext|> a", "hello <|endoftext|> world", "<|endoftext", "\x1cb \x85c", "a\u3000b", "é è\nç", "x" * 5000, " " * 300_000 + "x"]
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts += ["|".join(f"a{c}1{c} {c}a{c}{c}!" for c in points[i : i + 8192]) for i in range(0, len(points), 8192)]
     for t in texts:
-        assert cached.ids([t])[0] == struct.pack(f"<{len(x)}I", *x) if (x := tokenizer.encode(t, add_special_tokens=False).ids) else cached.ids([t])[0] == b""
+        assert fast.ids(t).tolist() == plain.encode(t, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, "hello <|endoftext|> world", "x")], "doc_id long, text string, piece string")
+    (row,) = packing.pack(docs).collect()
+    ids = [*plain.encode("hello <|endoftext|> world", add_special_tokens=False).ids, 2]
+    assert (row.length, row.ids_crc32) == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))) and 50256 in ids
 
 
 def test_pipeline(spark):
