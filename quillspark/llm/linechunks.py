@@ -1,102 +1,161 @@
-"""Line deduplication by runs of lines.
+"""Line deduplication by content-defined chunks of lines.
 
 A text falls into lines: at newlines, and within paragraphs after sentence marks; blank lines belong to the line before.
-A chunk is a shortest run of lines that counts: from every line on the run that starts there, and up to every line the
-run that ends there. Runs cross newlines, and follow from the lines themselves and not from their place, so a passage
-that moves from text to text is cut alike in all of them. Every repeated run of lines that counts is covered by such
-chunks wholly. A run counts if it has ``min_words`` words and two lines, or ``alone_words`` words. Words are parted by
-blanks of any kind; in scripts without blanks two characters are a word.
+A line of 50 words or more falls into parts of about four words where a rolling hash over two words says so; a part is
+no line. Words are parted by blanks of any kind; in scripts without blanks two characters are a word.
 
-A line of 50 words or more without such a mark falls into parts of about four words where a rolling hash over two words
-says so; a part is no line, so only runs of ``alone_words`` words find it again.
+A run of lines counts if it has ``min_words`` words and two lines, or ``alone_words`` words. Boundaries are chosen by
+content: a rolling hash over the hashes of two lines that follow each other chooses the line where it is less than at
+one of its neighbours, so of any two lines running one is chosen at least, wherever they stand. A chunk is the shortest run
+that counts from a chosen line on, newlines or not; lines of ``alone_words`` words are chunks by themselves.
 
-Chunks that are found more than once in the corpus are removed everywhere but at their first place (by doc_id, then
-place). Chunks overlap: a run's first place may lose lines to a chunk that is found earlier still, and each removed
-line stays at an earlier place.
+Chunks found more than once in the corpus are grown line by line: near them, the shortest runs that count from and up
+to every line are counted as well, so a repeated passage is found with the lines at its ends. Each run found more than
+once is removed everywhere but at its first place (by doc_id, then place). Any repeated passage of 50 words or more
+that begins and ends with whole lines goes wholly, but for its first place.
 
-Bytes decide: where a hash is found again, an aggregate keeps the least and the greatest chunk text of it; if these
-differ, no chunk of that hash is removed. It combines before the shuffle, so a passage that a third of all documents
-share is one row a task.
+Hashes are counted first. Bytes decide: where a hash is found again, an aggregate keeps the least and the greatest bytes
+of it; if these differ, no run of that hash is removed. It combines before the shuffle, so a passage that a third of all
+documents share is one row a task. Texts are shuffled once, for the byte comparison and the removal alike.
 
 Defined results: null and empty texts stay as they are; rows equal in doc_id and text are one document and keep the
-same; null doc_ids sort first. A document whose every chunk is elsewhere stays with an empty text or what is left.
+same; null doc_ids sort first; ties of place fall to the text's hash; an empty table gives no rows. A document whose
+every run is elsewhere stays with an empty text or what is left. Extra columns of any name are kept, but a column
+``removed_chunks`` is replaced.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
-from quillspark.llm.common import as_batch, batches, checkpointed, release
+from quillspark.llm.common import as_batch, batches, checkpointed
+from quillspark.llm.rolling import Rolling, chain, mix
 
 MIN_WORDS, ALONE_WORDS = 8, 20
 #: From how many words on a line is cut into parts, and of about how many words each.
 LONG_WORDS, PART = 50, 4
-#: Line ends: newlines, sentence marks before blanks, and the marks of scripts without blanks.
-_BREAK = re.compile("\n|(?:[.!?]|…|؟|۔|।)[\"')\\]]*[ \t]+|。|！|？|｡".encode())
+#: How many runs (two a line at most) beside a repeated chunk are counted as well.
+NEAR = 8
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
+_MARK, _QUOTE, _GAP = (np.isin(np.arange(256), list(x)) for x in (b".!?", b"\"')]", b" \t"))
+#: Sentence marks beyond ASCII: before blanks, and those of scripts without blanks.
+_WIDE_MARK = re.compile("(?:…|؟|۔|।)[\"')\\]]*[ \t]+|。|！|？|｡".encode())
 #: A character of a script without blanks, in UTF-8: Thai, Lao, Burmese, Khmer, kana and Han.
 _DENSE = re.compile(rb"\xe0[\xb8-\xbb].|\xe1[\x80-\x82\x9e\x9f].|\xe3[\x81-\xbf].|[\xe4-\xe9]..|\xf0[\xa0-\xbf]..", re.S)
 
-_WORD = re.compile(rb"(?:%s|(?:(?!%s)\S)+)\s*" % (_DENSE.pattern, _DENSE.pattern), re.S)
-
-
-def words(piece: bytes) -> int:
-    """Words between blanks, or half the characters of scripts without blanks if these are more."""
-    return max(len(piece.split()), len(_DENSE.findall(piece)) // 2)
-
-
-def parts(line: bytes) -> list[bytes]:
-    """A long line cut after words, where a rolling hash over two words (or characters without blanks) says so."""
-    out, begin, last = [], 0, 0
-    for m in _WORD.finditer(line):
-        now = zlib.crc32(m[0].rstrip())
-        if not zlib.crc32(m[0].rstrip(), last) % PART:
-            out.append(line[begin : m.end()])
-            begin = m.end()
-        last = now
-    if begin < len(line):
-        out.append(line[begin:])
-    return out
-
-
-def units(body: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Starts of the lines and parts (and the text's end), their ends without blanks, and before each the words and whole lines."""
-    starts, stops, before, whole = [], [], [0], [0]
-    dense = _DENSE.search(body) is not None
-    begin, total = 0, 0
-    for end in [*(m.end() for m in _BREAK.finditer(body)), len(body)]:
-        line = body[begin:end].rstrip()
-        if line:
-            n = words(line) if dense else len(line.split())
-            for piece in parts(line) if n >= LONG_WORDS else (line,):
-                total += n if piece is line else words(piece)
-                starts.append(begin)
-                stops.append(begin + len(piece.rstrip()))
-                before.append(total)
-                whole.append(whole[-1] + (piece is line))
-                begin += len(piece)
-        begin = end
-    return [*starts, len(body)], stops, before, whole
+
+@dataclass
+class Runs:
+    """Runs of lines of several texts, by text and place: bytes from ``start`` to ``stop``, the next line at ``next``."""
+
+    text: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+    next: np.ndarray
+    hash: np.ndarray
+    chosen: np.ndarray
+
+
+def _line_ends(data: np.ndarray, joined: bytes) -> np.ndarray:
+    """Where lines end, sorted: after newlines, and after sentence marks with the blanks that follow."""
+    end = np.flatnonzero(_MARK[data]) + 1
+    for where in (_QUOTE, _GAP):
+        if where is _GAP:
+            end = end[_GAP[data[end]]]
+        go = np.flatnonzero(where[data[end]])
+        while len(go):  # a newline closes the array, and is neither
+            end[go] += 1
+            go = go[where[data[end[go]]]]
+    found = [np.flatnonzero(data == 10) + 1, end]
+    if data.max() >= 0xD8:
+        found.append(np.array([m.end() for m in _WIDE_MARK.finditer(joined)], np.int64))
+    return np.unique(np.concatenate(found))
+
+
+def _words(data: np.ndarray, joined: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and stops of words, and twice the words each counts as (a dense character is half a word)."""
+    blank = _SPACE[data]
+    before = np.concatenate([[True], blank[:-1]])
+    dense = np.array([m.start() for m in _DENSE.finditer(joined)], np.int64) if data.max() >= 0xE0 else np.zeros(0, np.int64)
+    if not len(dense):
+        start = np.flatnonzero(before & ~blank)
+        return start, np.flatnonzero(blank & ~before), np.full(len(start), 2)
+    inside = np.zeros(len(data), bool)
+    size = np.where(data[dense] >= 0xF0, 4, 3)
+    for k in range(4):
+        inside[dense[size > k] + k] = True
+    after = np.concatenate([[False], inside[:-1]])
+    single = np.zeros(len(data), bool)
+    single[dense] = True
+    start = np.flatnonzero(single | (~blank & ~inside & (before | after)))
+    ends = np.flatnonzero((blank & ~before) | (inside & ~after & ~before) | (after & ~inside & ~blank))
+    stop = np.append(start[1:], len(data))
+    ends = np.append(ends, len(data))
+    return start, np.minimum(stop, ends[np.searchsorted(ends, start, side="right")]), np.where(single[start], 1, 2)
+
+
+def runs(bodies: list[bytes], min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS) -> Runs:
+    """The shortest runs that count from and up to every line of every text; ``chosen`` are the content-defined chunks."""
+    joined = b"\n".join(bodies) + b"\n"
+    data = np.frombuffer(joined, np.uint8)
+    bounds = np.concatenate([[0], np.cumsum(np.array([len(b) + 1 for b in bodies], np.int64))])
+    rolling = Rolling(data)
+    word, word_stop, weight = _words(data, joined)
+    total = np.concatenate([[0], np.cumsum(weight)])
+    end = _line_ends(data, joined)
+    begin = np.concatenate([[0], end[:-1]])
+    first, last = np.searchsorted(word, begin), np.searchsorted(word, end)
+    full = last > first
+    begin, first, last = begin[full], first[full], last[full]
+    whole = np.ones(len(begin), bool)
+    long = total[last] - total[first] >= 2 * LONG_WORDS
+    if long.any():
+        of = np.repeat(np.flatnonzero(long), (last - first)[long])
+        index = np.concatenate([np.arange(a, b) for a, b in zip(first[long].tolist(), last[long].tolist())])
+        pair = chain(rolling.hash(word[index], word_stop[index]), 2)
+        cut = np.flatnonzero((pair % np.uint64(PART) == 0)[:-1] & (of[2:] == of[:-2])) + 2 if len(index) > 2 else np.zeros(0, np.int64)
+        begin, first = np.append(begin, word[index[cut]]), np.append(first, index[cut])
+        order = np.argsort(first, kind="stable")
+        whole = np.append(~long, np.zeros(len(cut), bool))[order]
+        begin, first = begin[order], first[order]
+        last = np.append(first[1:], len(word)) if len(first) else first
+    n = len(begin)
+    text = np.searchsorted(bounds, begin, side="right") - 1
+    stop = word_stop[last - 1]
+    words = np.append(total[first], total[-1])
+    lines = np.concatenate([[0], np.cumsum(whole)])
+    low, high = np.searchsorted(text, text), np.searchsorted(text, text, side="right")
+    at = np.arange(n)
+    short, alone = 2 * min_words, 2 * alone_words
+    # a text's words end where its lines end: sums over lines are differences of ``words``
+    to = np.minimum(np.searchsorted(words, words[:-1] + alone), np.maximum(np.searchsorted(words, words[:-1] + short), np.searchsorted(lines, lines[:-1] + 2)))
+    back = np.maximum(np.searchsorted(words, words[1:] - alone, side="right"), np.minimum(np.searchsorted(words, words[1:] - short, side="right"), np.searchsorted(lines, lines[1:] - 2, side="right"))) - 1
+    ahead, behind = to <= high, back >= low
+    pairs = np.unique(np.concatenate([at[ahead] * (n + 1) + to[ahead], back[behind] * (n + 1) + at[behind] + 1]))
+    i, j = pairs // (n + 1), pairs % (n + 1)
+    # rolling hash over the hashes of two lines running, chosen where it is less than at a neighbour
+    line = rolling.hash(begin, stop)
+    two = np.full(n + 2, np.iinfo(np.uint64).max, np.uint64)
+    if n > 1:
+        two[1:n] = np.where(text[1:] == text[:-1], chain(line, 2), two[0])
+    boundary = (two[1:-1] < two[:-2]) | (two[1:-1] < two[2:]) | (words[1:] - words[:-1] >= alone)
+    shift = bounds[text[i]]
+    after = np.where(j < high[i], np.append(begin, 0)[j], bounds[text[i] + 1] - 1)
+    return Runs(text[i], begin[i] - shift, stop[j - 1] - shift, after - shift, rolling.hash(begin[i], stop[j - 1]), boundary[i] & (to[i] == j))
 
 
 def chunks(body: bytes, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS) -> list[tuple[int, int, int]]:
-    """(start, end, next): the bytes of each chunk, blanks at its end left off, and where the line after it begins."""
-    starts, stops, before, whole = units(body)
-    out: list[tuple[int, int, int]] = []
-    i = 0
-    for j, stop in enumerate(stops):
-        w, n, from_ = before[j + 1], whole[j + 1], i
-        while i <= j and (w - before[i] >= alone_words or (w - before[i] >= min_words and n - whole[i] > 1)):
-            i += 1
-        # lines from_ to i - 1 first count at j; if none does, the run up to j is that of the last line that counted
-        out.extend((starts[k], stop, starts[j + 1]) for k in range(from_ if from_ < i else max(i - 1, 0), i))
-    return out
+    """(start, stop, next) of the content-defined chunks of one text, blanks at their ends left off."""
+    r = runs([body], min_words, alone_words)
+    return list(zip(r.start[r.chosen].tolist(), r.stop[r.chosen].tolist(), r.next[r.chosen].tolist()))
 
 
 def cut(body: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -119,70 +178,99 @@ def apart(spans: list[tuple[int, int]]) -> int:
     return n
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, kind))
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """By document: doc_id, tkey, its runs as arrays, and the places (``at``) and hashes (``seeds``) of the chunks."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source, most=1_000_000):
+            r = runs(batch.column(2).to_pylist())
+            n = np.bincount(r.text, minlength=batch.num_rows)
+            place = np.arange(len(r.text)) - (np.cumsum(n) - n)[r.text]
+            seeds = np.bincount(r.text[r.chosen], minlength=batch.num_rows)
+            signed = r.hash.view(np.int64)
+            made = as_batch({"doc_id": batch.column(0), "tkey": batch.column(1), "h": _lists(signed, n, pa.int64()), "start": _lists(r.start, n, pa.int32()), "stop": _lists(r.stop, n, pa.int32()), "next": _lists(r.next, n, pa.int32()), "at": _lists(place[r.chosen], seeds, pa.int32()), "seeds": _lists(signed[r.chosen], seeds, pa.int64())})
+            yield made.filter(pa.array(seeds > 0))
+
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    return docs.select("doc_id", F.xxhash64(body).alias("tkey"), body.alias("body"))
+    keyed = docs.select("doc_id", F.xxhash64(body).alias("tkey"), body.alias("body"))
+    return keyed.mapInArrow(run, "doc_id long, tkey long, h array<long>, start array<int>, stop array<int>, next array<int>, at array<int>, seeds array<long>")
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, tkey, spans): by document, the (start, next) of the chunks to remove."""
-    digest = xxhash.xxh64_intdigest
+def _grown(found: DataFrame) -> DataFrame:
+    """The runs within NEAR of the repeated chunks of each sketch: ``hit`` holds the chunks' numbers."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            docs, places = [], []
+            base = 0
+            for k, (n, at, hit) in enumerate(zip(col["n"].to_pylist(), col["at"].to_pylist(), col["hit"].to_pylist())):
+                near = np.zeros(n + 1, np.int64)
+                centre = np.array(at)[hit]
+                np.add.at(near, np.maximum(centre - NEAR, 0), 1)
+                np.add.at(near, np.minimum(centre + NEAR + 1, n), -1)
+                kept = np.flatnonzero(np.cumsum(near[:n]))
+                places.append(kept + base)
+                docs.append(np.full(len(kept), k))
+                base += n
+            if docs:
+                take, doc = pa.array(np.concatenate(places)), pa.array(np.concatenate(docs))
+                yield as_batch({"h": pa.array(col["h"].flatten().take(take)), "doc_id": col["doc_id"].take(doc), "tkey": col["tkey"].take(doc), **{k: col[k].flatten().take(take) for k in ("start", "stop", "next")}})
+
+    wanted = found.select("doc_id", "tkey", "h", "start", "stop", "next", "at", F.size("h").alias("n"), "hit")
+    return wanted.mapInArrow(run, "h long, doc_id long, tkey long, start int, stop int, next int")
 
-    def places(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source):
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for doc, key, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                found = chunks(body)
-                out[0].extend([digest(body[a:b]) - (1 << 63) for a, b, _ in found])
-                out[1].extend([doc] * len(found))
-                out[2].extend([key] * len(found))
-                for column, values in zip(out[3:], zip(*found)):
-                    column.extend(values)
-            yield as_batch({n: pa.array(v, t) for n, v, t in zip(("h", "doc_id", "tkey", "start", "stop", "next"), out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))})
-
-    def texts(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source):
-            found = [(s["h"], body[s["start"] : s["stop"]]) for body, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for s in spans]
-            yield as_batch({"h": pa.array([h for h, _ in found], pa.int64()), "piece": pa.array([p for _, p in found], pa.binary())})
 
-    keyed = _keyed(docs)
-    placed = keyed.mapInArrow(places, "h long, doc_id long, tkey long, start int, stop int, next int")
-    counted = placed.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tkey", "start")).alias("first"))
-    again = checkpointed(counted.where("n > 1").select("h", "first"))
-    release(docs.sparkSession)
+def repeated(docs: DataFrame) -> DataFrame:
+    """(doc_id, tkey, spans): by document, the runs found more than once; ``first`` says that this place keeps it."""
+    sketch = checkpointed(sketches(docs).withColumn("row", F.monotonically_increasing_id()))
+    again = sketch.select(F.explode("seeds").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    hits = sketch.select("row", F.posexplode("seeds").alias("k", "h")).join(again, "h", "left_semi").groupBy("row").agg(F.collect_list("k").alias("hit"))
+    candidates = checkpointed(_grown(sketch.join(hits, "row")))
     here = F.struct("doc_id", "tkey", "start")
-    met = placed.join(again, "h").select("doc_id", "tkey", F.struct("start", "stop", "next", "h", here.eqNullSafe(F.col("first")).alias("first")).alias("span"))
-    spans = checkpointed(met.groupBy("doc_id", "tkey").agg(F.collect_set("span").alias("spans")))
-    release(docs.sparkSession)
-    of = spans.withColumnsRenamed({"doc_id": "_doc", "tkey": "_tkey"})
-    pieces = keyed.join(of, keyed["doc_id"].eqNullSafe(of["_doc"]) & (keyed["tkey"] == of["_tkey"])).select("body", "spans").mapInArrow(texts, "h long, piece binary")
-    unlike = checkpointed(pieces.groupBy("h").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).where("low <> high").select("h"))
-    release(docs.sparkSession)
-    gone = spans.select("doc_id", "tkey", F.filter("spans", lambda s: ~s["first"]).alias("spans"))
-    if not unlike.isEmpty():
-        single = gone.select("doc_id", "tkey", F.explode("spans").alias("s")).join(unlike, F.col("s.h") == F.col("h"), "left_anti")
-        gone = single.groupBy("doc_id", "tkey").agg(F.collect_set("s").alias("spans"))
-    return gone.where(F.size("spans") > 0).select("doc_id", "tkey", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["next"].alias("stop"))).alias("spans"))
+    counted = candidates.groupBy("h").agg(F.count("*").alias("n"), F.min(here).alias("first")).where("n > 1").select("h", "first")
+    met = candidates.join(counted, "h").select("doc_id", "tkey", F.struct("start", "stop", "next", "h", here.eqNullSafe(F.col("first")).alias("first")).alias("span"))
+    return checkpointed(met.groupBy("doc_id", "tkey").agg(F.collect_set("span").alias("spans")))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs``, all columns kept, its text without repeated chunks, and removed_chunks (chunks that touch count once).
+    """Every row of ``docs``, all columns kept, its text without repeated runs, and removed_chunks (runs that touch count once).
 
-    n_chars, where there is such a column, is that of the new text if chunks were removed.
+    n_chars, where there is such a column, is that of the new text if runs were removed.
     """
-    names = docs.columns
+    names = [n for n in docs.columns if n != "removed_chunks"]
+    rest = [n for n in names if n != "text"]
+    quoted = {n: F.col("`" + n.replace("`", "``") + "`") for n in names}
+    own = docs.select(quoted["doc_id"].alias("doc"), F.xxhash64(F.coalesce(quoted["text"].cast("binary"), F.lit(b""))).alias("key"), quoted["text"].cast("binary").alias("body"), F.struct(*[quoted[n].alias(n) for n in rest]).alias("rest"))
+    spans = repeated(docs).withColumnsRenamed({"doc_id": "of_doc", "tkey": "of_key"})
+    on = own["doc"].eqNullSafe(spans["of_doc"]) & (own["key"] == spans["of_key"])
+
+    def pieces(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source):
+            found = {(s["h"], body[s["start"] : s["stop"]]) for body, spans in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()) for s in spans}
+            yield as_batch({"h": pa.array([h for h, _ in found], pa.int64()), "piece": pa.array([p for _, p in found], pa.binary())})
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source, "_text"):
-            made = [body if not spans else cut(body, [(s["start"], s["stop"]) for s in spans]) for body, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            rest = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i > 1}
-            yield as_batch({"_text": pa.array(made, pa.binary()), "_removed": pa.array([apart([(x["start"], x["stop"]) for x in s]) if s else 0 for s in batch.column(1).to_pylist()], pa.int32()), **rest})
-
-    own = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
-    gone = repeated(docs).withColumnsRenamed({"doc_id": "_doc", "tkey": "_tkey"})
-    joined = own.join(gone, own["doc_id"].eqNullSafe(gone["_doc"]) & (own["_key"] == gone["_tkey"]), "left").drop("_doc", "_tkey", "_key")
-    rest = [n for n in names if n != "text"]
-    fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in rest)
-    cutted = joined.select(F.col("text").cast("binary").alias("_text"), "spans", *rest).mapInArrow(run, f"_text binary, _removed int, {fields}")
-    text = F.col("_text").cast("string")
-    return cutted.select(*[text.alias("text") if n == "text" else (F.when(F.col("_removed") > 0, F.length(text)).otherwise(F.col(n)).cast("long").alias(n) if n == "n_chars" else F.col(n)) for n in names], F.col("_removed").alias("removed_chunks"))
+        for batch in batches(source):
+            made, removed = batch.column(0).to_pylist(), [0] * batch.num_rows
+            for k, (spans, unlike) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                gone = [(s["start"], s["next"]) for s in spans or () if not s["first"] and s["h"] not in (unlike or ())]
+                if gone:
+                    made[k], removed[k] = cut(made[k], gone), apart(gone)
+            yield as_batch({"body": pa.array(made, pa.binary()), "removed": pa.array(removed, pa.int32()), "rest": batch.column(1)})
+
+    # the same columns of the texts go through both joins, so that their shuffle is written once
+    compared = own.join(spans, on).select("body", "rest", "spans").mapInArrow(pieces, "h long, piece binary")
+    unlike = compared.groupBy("h").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).where("low <> high").select("h")
+    wrong = spans.select("of_doc", "of_key", F.explode("spans.h").alias("h")).join(unlike, "h").groupBy("of_doc", "of_key").agg(F.collect_set("h").alias("unlike"))
+    marked = spans.join(wrong.withColumnsRenamed({"of_doc": "u_doc", "of_key": "u_key"}), F.col("of_doc").eqNullSafe(F.col("u_doc")) & (F.col("of_key") == F.col("u_key")), "left").select("of_doc", "of_key", "spans", "unlike")
+    joined = own.join(marked, on, "left").select("body", "rest", "spans", "unlike")
+    schema = StructType([StructField("body", BinaryType()), StructField("removed", IntegerType()), StructField("rest", own.schema["rest"].dataType)])
+    text, kept = F.col("body").cast("string"), {n: F.col("rest.`" + n.replace("`", "``") + "`") for n in rest}
+    if "n_chars" in kept:
+        kept["n_chars"] = F.when(F.col("removed") > 0, F.length(text)).otherwise(kept["n_chars"]).cast("long")
+    return joined.mapInArrow(run, schema).select(*[(text if n == "text" else kept[n]).alias(n) for n in names], F.col("removed").alias("removed_chunks"))
