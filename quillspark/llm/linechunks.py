@@ -1,8 +1,9 @@
 """Line deduplication by content-defined chunks of lines.
 
-A text falls into lines: at newlines, and within paragraphs after sentence marks; blank lines belong to the line before.
-A line of 50 words or more falls into parts of about four words where a rolling hash over two words says so; a part is
-no line. Words are parted by blanks of any kind; in scripts without blanks two characters are a word.
+Lines end at newlines; blank lines belong to the line before. A line of ``LONG_WORDS`` words or more is a paragraph and
+falls into sentences, each a line, but sentences of under ``SHORT_WORDS`` words belong to the one before. A sentence that
+is as long falls into parts of about four words where a rolling hash over two words says so; a part is no line. Words
+are parted by blanks of any kind; in scripts without blanks two characters are a word.
 
 A run of lines counts if it has ``min_words`` words and two lines, or ``alone_words`` words. Boundaries are chosen by
 content: a rolling hash over the hashes of two lines that follow each other chooses the line where it is less than at
@@ -14,9 +15,10 @@ to every line are counted as well, so a repeated passage is found with the lines
 once is removed everywhere but at its first place (by doc_id, then place). Any repeated passage of 50 words or more
 that begins and ends with whole lines goes wholly, but for its first place.
 
-Hashes are counted first. Bytes decide: where a hash is found again, an aggregate keeps the least and the greatest bytes
-of it; if these differ, no run of that hash is removed. It combines before the shuffle, so a passage that a third of all
-documents share is one row a task. Texts are shuffled once, for the byte comparison and the removal alike.
+Hashes are counted first; they alone are shuffled, and each text's runs are made again from the text at the end. Bytes
+decide: where a hash is found again, an aggregate keeps the least and the greatest bytes of it; if these differ, no run
+of that hash is removed. It combines before the shuffle, so a passage that a third of all documents share is one row a
+task. Texts are shuffled once, for the byte comparison and the removal alike.
 
 Defined results: null and empty texts stay as they are; rows equal in doc_id and text are one document and keep the
 same; null doc_ids sort first; ties of place fall to the text's hash; an empty table gives no rows. A document whose
@@ -40,8 +42,9 @@ from quillspark.llm.common import as_batch, batches, checkpointed
 from quillspark.llm.rolling import Rolling, chain, mix
 
 MIN_WORDS, ALONE_WORDS = 8, 20
-#: From how many words on a line is cut into parts, and of about how many words each.
-LONG_WORDS, PART = 50, 4
+#: From how many words on a line is cut into sentences, and these into parts; under how many words a sentence is none;
+#: of about how many words a part is.
+LONG_WORDS, SHORT_WORDS, PART = 50, 4, 4
 #: How many runs (two a line at most) beside a repeated chunk are counted as well.
 NEAR = 8
 _SPACE = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
@@ -64,8 +67,8 @@ class Runs:
     chosen: np.ndarray
 
 
-def _line_ends(data: np.ndarray, joined: bytes) -> np.ndarray:
-    """Where lines end, sorted: after newlines, and after sentence marks with the blanks that follow."""
+def _sentence_ends(data: np.ndarray, joined: bytes) -> np.ndarray:
+    """Where sentences end: after their marks with the blanks that follow."""
     end = np.flatnonzero(_MARK[data]) + 1
     for where in (_QUOTE, _GAP):
         if where is _GAP:
@@ -74,10 +77,18 @@ def _line_ends(data: np.ndarray, joined: bytes) -> np.ndarray:
         while len(go):  # a newline closes the array, and is neither
             end[go] += 1
             go = go[where[data[end[go]]]]
-    found = [np.flatnonzero(data == 10) + 1, end]
-    if data.max() >= 0xD8:
-        found.append(np.array([m.end() for m in _WIDE_MARK.finditer(joined)], np.int64))
-    return np.unique(np.concatenate(found))
+    return np.unique(np.concatenate([end, np.array([m.end() for m in _WIDE_MARK.finditer(joined)], np.int64)])) if data.max() >= 0xD8 else np.unique(end)
+
+
+def _line_ends(data: np.ndarray, joined: bytes, word: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Where lines end, sorted: at newlines, and in long ones after sentences."""
+    line = np.flatnonzero(data == 10) + 1
+    size = np.diff(total[np.searchsorted(word, line)], prepend=0)
+    inner = _sentence_ends(data, joined)
+    inner = inner[size[np.searchsorted(line, inner)] >= 2 * LONG_WORDS]
+    both = np.union1d(line, inner)
+    follow = np.diff(total[np.searchsorted(word, both)], append=total[-1])  # words of the sentence after each end
+    return both[(data[both - 1] == 10) | (follow >= 2 * SHORT_WORDS)]
 
 
 def _words(data: np.ndarray, joined: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,7 +121,7 @@ def runs(bodies: list[bytes], min_words: int = MIN_WORDS, alone_words: int = ALO
     rolling = Rolling(data)
     word, word_stop, weight = _words(data, joined)
     total = np.concatenate([[0], np.cumsum(weight)])
-    end = _line_ends(data, joined)
+    end = _line_ends(data, joined, word, total)
     begin = np.concatenate([[0], end[:-1]])
     first, last = np.searchsorted(word, begin), np.searchsorted(word, end)
     full = last > first
@@ -178,63 +189,79 @@ def apart(spans: list[tuple[int, int]]) -> int:
     return n
 
 
-def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, kind))
-
-
 def sketches(docs: DataFrame) -> DataFrame:
-    """By document: doc_id, tkey, its runs as arrays, and the places (``at``) and hashes (``seeds``) of the chunks."""
+    """By document: doc_id, tkey and the hashes of its runs in order, the last bit set for content-defined chunks."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, most=1_000_000):
             r = runs(batch.column(2).to_pylist())
-            n = np.bincount(r.text, minlength=batch.num_rows)
-            place = np.arange(len(r.text)) - (np.cumsum(n) - n)[r.text]
-            seeds = np.bincount(r.text[r.chosen], minlength=batch.num_rows)
-            signed = r.hash.view(np.int64)
-            made = as_batch({"doc_id": batch.column(0), "tkey": batch.column(1), "h": _lists(signed, n, pa.int64()), "start": _lists(r.start, n, pa.int32()), "stop": _lists(r.stop, n, pa.int32()), "next": _lists(r.next, n, pa.int32()), "at": _lists(place[r.chosen], seeds, pa.int32()), "seeds": _lists(signed[r.chosen], seeds, pa.int64())})
-            yield made.filter(pa.array(seeds > 0))
+            ends = np.searchsorted(r.text, np.arange(batch.num_rows + 1))
+            h = (r.hash & ~np.uint64(1) | r.chosen.astype(np.uint64)).view(np.int64)
+            made = as_batch({"doc_id": batch.column(0), "tkey": batch.column(1), "h": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h))})
+            yield made.filter(pa.array(np.diff(ends) > 0))
 
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     keyed = docs.select("doc_id", F.xxhash64(body).alias("tkey"), body.alias("body"))
-    return keyed.mapInArrow(run, "doc_id long, tkey long, h array<long>, start array<int>, stop array<int>, next array<int>, at array<int>, seeds array<long>")
+    return keyed.mapInArrow(run, "doc_id long, tkey long, h array<long>")
 
 
 def _grown(found: DataFrame) -> DataFrame:
-    """The runs within NEAR of the repeated chunks of each sketch: ``hit`` holds the chunks' numbers."""
+    """The hashes (last bit cleared) of the runs within NEAR of a chunk in ``hit``, by document."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            docs, places = [], []
-            base = 0
-            for k, (n, at, hit) in enumerate(zip(col["n"].to_pylist(), col["at"].to_pylist(), col["hit"].to_pylist())):
-                near = np.zeros(n + 1, np.int64)
-                centre = np.array(at)[hit]
-                np.add.at(near, np.maximum(centre - NEAR, 0), 1)
-                np.add.at(near, np.minimum(centre + NEAR + 1, n), -1)
-                kept = np.flatnonzero(np.cumsum(near[:n]))
-                places.append(kept + base)
-                docs.append(np.full(len(kept), k))
-                base += n
-            if docs:
-                take, doc = pa.array(np.concatenate(places)), pa.array(np.concatenate(docs))
-                yield as_batch({"h": pa.array(col["h"].flatten().take(take)), "doc_id": col["doc_id"].take(doc), "tkey": col["tkey"].take(doc), **{k: col[k].flatten().take(take) for k in ("start", "stop", "next")}})
-
-    wanted = found.select("doc_id", "tkey", "h", "start", "stop", "next", "at", F.size("h").alias("n"), "hit")
-    return wanted.mapInArrow(run, "h long, doc_id long, tkey long, start int, stop int, next int")
+            kept = []
+            for hashes, hit in zip(batch.column(2), batch.column(3)):
+                h = hashes.values.to_numpy()
+                at = np.flatnonzero(np.isin(h, hit.values.to_numpy()))
+                near = np.zeros(len(h) + 1, np.int64)
+                np.add.at(near, np.maximum(at - NEAR, 0), 1)
+                np.add.at(near, np.minimum(at + NEAR + 1, len(h)), -1)
+                kept.append(h[np.cumsum(near[:-1]) > 0] & ~1)
+            if kept:
+                ends = np.concatenate([[0], np.cumsum([len(k) for k in kept])])
+                yield as_batch({"doc_id": batch.column(0), "tkey": batch.column(1), "h": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(kept)))})
+
+    return found.select("doc_id", "tkey", "h", "hit").mapInArrow(run, "doc_id long, tkey long, h array<long>")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, tkey, spans): by document, the runs found more than once; ``first`` says that this place keeps it."""
+    """(doc_id, tkey, kept, gone): by document, the hashes of the runs found more than once, ``kept`` where it is their first place."""
     sketch = checkpointed(sketches(docs).withColumn("row", F.monotonically_increasing_id()))
-    again = sketch.select(F.explode("seeds").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    hits = sketch.select("row", F.posexplode("seeds").alias("k", "h")).join(again, "h", "left_semi").groupBy("row").agg(F.collect_list("k").alias("hit"))
-    candidates = checkpointed(_grown(sketch.join(hits, "row")))
-    here = F.struct("doc_id", "tkey", "start")
-    counted = candidates.groupBy("h").agg(F.count("*").alias("n"), F.min(here).alias("first")).where("n > 1").select("h", "first")
-    met = candidates.join(counted, "h").select("doc_id", "tkey", F.struct("start", "stop", "next", "h", here.eqNullSafe(F.col("first")).alias("first")).alias("span"))
-    return checkpointed(met.groupBy("doc_id", "tkey").agg(F.collect_set("span").alias("spans")))
+    seeds = sketch.select("row", F.explode("h").alias("h")).where(F.col("h") % 2 != 0)
+    again = seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    hits = seeds.join(again, "h", "left_semi").groupBy("row").agg(F.collect_list("h").alias("hit"))
+    near = checkpointed(_grown(sketch.join(hits, "row")))
+    each = near.select("doc_id", "tkey", F.explode("h").alias("h"))
+    counted = each.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tkey")).alias("first")).where("n > 1").select("h", "first")
+    met = each.join(counted, "h").select("doc_id", "tkey", "h", F.struct("doc_id", "tkey").eqNullSafe(F.col("first")).alias("own"))
+    return checkpointed(met.groupBy("doc_id", "tkey").agg(F.collect_set(F.when(F.col("own"), F.col("h"))).alias("kept"), F.collect_set(F.when(~F.col("own"), F.col("h"))).alias("gone")))
+
+
+@dataclass
+class Found:
+    """The runs of a batch of texts that are in the corpus more than once."""
+
+    runs: Runs
+    #: Numbers of these runs, and of those among them that aren't at their first place.
+    all: np.ndarray
+    later: np.ndarray
+
+
+def find(bodies: list[bytes], kept: list[list[int] | None], gone: list[list[int] | None]) -> Found:
+    r = runs(bodies)
+    h = (r.hash & ~np.uint64(1)).view(np.int64)
+    ends = np.searchsorted(r.text, np.arange(len(bodies) + 1))
+    every, later = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k, (stay, go) in enumerate(zip(kept, gone)):
+        if stay or go:
+            mine = h[ends[k] : ends[k + 1]]
+            here = np.flatnonzero(np.isin(mine, np.array(stay, np.int64)))
+            _, first = np.unique(mine[here], return_index=True)
+            away = np.flatnonzero(np.isin(mine, np.array(go, np.int64)))
+            every.append(np.concatenate([here, away]) + ends[k])
+            later.append(np.concatenate([np.delete(here, first), away]) + ends[k])
+    return Found(r, np.concatenate(every), np.concatenate(later))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -250,25 +277,31 @@ def dedup(docs: DataFrame) -> DataFrame:
     on = own["doc"].eqNullSafe(spans["of_doc"]) & (own["key"] == spans["of_key"])
 
     def pieces(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source):
-            found = {(s["h"], body[s["start"] : s["stop"]]) for body, spans in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()) for s in spans}
+        for batch in batches(source, most=1_000_000):
+            bodies = batch.column(0).to_pylist()
+            f = find(bodies, batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            found = {(h, bodies[t][a:b]) for h, t, a, b in zip((f.runs.hash[f.all] & ~np.uint64(1)).view(np.int64).tolist(), f.runs.text[f.all].tolist(), f.runs.start[f.all].tolist(), f.runs.stop[f.all].tolist())}
             yield as_batch({"h": pa.array([h for h, _ in found], pa.int64()), "piece": pa.array([p for _, p in found], pa.binary())})
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source):
+        for batch in batches(source, most=1_000_000):
             made, removed = batch.column(0).to_pylist(), [0] * batch.num_rows
-            for k, (spans, unlike) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                gone = [(s["start"], s["next"]) for s in spans or () if not s["first"] and s["h"] not in (unlike or ())]
-                if gone:
-                    made[k], removed[k] = cut(made[k], gone), apart(gone)
+            unlike = [set(u or ()) for u in batch.column(4).to_pylist()]
+            f = find([b or b"" for b in made], *(batch.column(i).to_pylist() for i in (2, 3)))
+            spans: dict[int, list] = {}
+            for h, t, a, b in zip((f.runs.hash[f.later] & ~np.uint64(1)).view(np.int64).tolist(), f.runs.text[f.later].tolist(), f.runs.start[f.later].tolist(), f.runs.next[f.later].tolist()):
+                if h not in unlike[t]:
+                    spans.setdefault(t, []).append((a, b))
+            for t, gone in spans.items():
+                made[t], removed[t] = cut(made[t], gone), apart(gone)
             yield as_batch({"body": pa.array(made, pa.binary()), "removed": pa.array(removed, pa.int32()), "rest": batch.column(1)})
 
     # the same columns of the texts go through both joins, so that their shuffle is written once
-    compared = own.join(spans, on).select("body", "rest", "spans").mapInArrow(pieces, "h long, piece binary")
+    compared = own.join(spans, on).select("body", "rest", "kept", "gone").mapInArrow(pieces, "h long, piece binary")
     unlike = compared.groupBy("h").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).where("low <> high").select("h")
-    wrong = spans.select("of_doc", "of_key", F.explode("spans.h").alias("h")).join(unlike, "h").groupBy("of_doc", "of_key").agg(F.collect_set("h").alias("unlike"))
-    marked = spans.join(wrong.withColumnsRenamed({"of_doc": "u_doc", "of_key": "u_key"}), F.col("of_doc").eqNullSafe(F.col("u_doc")) & (F.col("of_key") == F.col("u_key")), "left").select("of_doc", "of_key", "spans", "unlike")
-    joined = own.join(marked, on, "left").select("body", "rest", "spans", "unlike")
+    wrong = spans.select("of_doc", "of_key", F.explode("gone").alias("h")).join(unlike, "h").groupBy("of_doc", "of_key").agg(F.collect_set("h").alias("unlike"))
+    marked = spans.join(wrong.withColumnsRenamed({"of_doc": "u_doc", "of_key": "u_key"}), F.col("of_doc").eqNullSafe(F.col("u_doc")) & (F.col("of_key") == F.col("u_key")), "left").drop("u_doc", "u_key")
+    joined = own.join(marked, on, "left").select("body", "rest", "kept", "gone", "unlike")
     schema = StructType([StructField("body", BinaryType()), StructField("removed", IntegerType()), StructField("rest", own.schema["rest"].dataType)])
     text, kept = F.col("body").cast("string"), {n: F.col("rest.`" + n.replace("`", "``") + "`") for n in rest}
     if "n_chars" in kept:
