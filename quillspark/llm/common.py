@@ -33,14 +33,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver's cleaner drop the shuffle files of frames that are no longer referenced."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def text_bytes(docs: DataFrame, *columns: str) -> DataFrame:
     """``columns`` and the text as UTF-8 bytes, a null text empty: only these columns are read."""
     return docs.select(*columns, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body"))

@@ -13,9 +13,11 @@ Keys shared by more than ``hot`` distinct fingerprints are not paired: their mem
 Two fingerprints differ in at most two bits exactly if they share a variant with at most one bit changed, so one star
 per variant (65 rows a fingerprint) links the same components. Equal fingerprints are one row from the start.
 
-``near_duplicates`` is the operator for texts: five-word shingles and a similarity of 0.8. Its candidates share four
-places and signs of the largest margins of the SimHash sums (``bands``), must pass the same pivot test with the wider distance,
-and are verified by the shingles themselves.
+``near_duplicates`` is the operator for texts: five-word shingles and a Jaccard similarity of 0.8. At this similarity
+fingerprints differ in about ten of 64 bits, too many for keys of whole blocks, so its candidates come from an exact
+prefix filter on shingles, rarest first: it misses no pair. Candidates must pass the pivot test with the wider distance
+of ``MOST`` bits (six standard deviations above what 0.8 gives; texts of few shingles skip it), and are verified by
+the shingles themselves.
 
 Defined results: a null or empty text has the fingerprint 0 and is linked like any other; a null doc_id is linked but
 is never a component's id unless all its members are null; repeated rows come out once each.
@@ -24,7 +26,6 @@ is never a component's id unless all its members are null; repeated rows come ou
 from __future__ import annotations
 
 import math
-import random
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -34,18 +35,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_batch, batches, checkpointed, release, text_bytes
+from quillspark.llm.common import as_batch, batches, checkpointed, text_bytes
 from quillspark.llm.components import components
+from quillspark.llm.rolling import Rolling, chain
 
 SEED = 42
 PIVOTS = [xxhash.xxh64_intdigest(b"pivot %d" % i, SEED) for i in range(16)]
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
-#: Words of 64 SimHash sums for the bands; each half word gives a code of six bits, and four codes make a band.
-BAND_WORDS, BANDS = 12, sorted(random.Random(SEED).sample(list(combinations(range(24), 4)), 80))
-#: Buckets of the counts that order shingles from rare to common.
-SKETCH = 1 << 20
+#: Buckets of the counts that order shingles from rare to common, and how many of the largest a task reports.
+SKETCH, REPORTED = 1 << 20, 8192
+#: The pivot test of near-duplicates: how many bits may differ, and from how many shingles on it applies.
+MOST, ENOUGH = 28, 64
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32)
-_MIX = np.array([xxhash.xxh64_intdigest(b"word %d" % i, SEED) | 1 for i in range(BAND_WORDS)], np.uint64)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
+_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 
 
 def shingles(body: bytes, width: int) -> list[bytes]:
@@ -78,17 +81,18 @@ def fingerprint(h: np.ndarray) -> int:
     return int.from_bytes(np.packbits(bits * 2 > len(h)).tobytes(), "big")
 
 
-def bands(h: np.ndarray) -> list[int]:
-    """Band keys: by half word of remixed hashes' sums, the place and sign of the largest margin; four of these a band."""
-    mixed = h[None, :] * _MIX[:, None]
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(32)
-    margin = (_sums(mixed) * 2 - len(h)).reshape(2 * BAND_WORDS, 32)
-    place = np.abs(margin).argmax(axis=1)
-    sign = margin[np.arange(2 * BAND_WORDS), place] > 0
-    code = (place * 2 + sign).tolist()
-    return [b << 24 | code[w] << 18 | code[x] << 12 | code[y] << 6 | code[z] for b, (w, x, y, z) in enumerate(BANDS)]
+def shingle_sets(bodies: list[bytes], width: int) -> list[np.ndarray]:
+    """By text, the sorted distinct rolling hashes of its ``width``-word shingles (of the whole sequence if it is shorter)."""
+    data = _LOWER[np.frombuffer(b"\n".join(bodies) + b"\n", np.uint8)]
+    bounds = np.cumsum(np.array([len(b) + 1 for b in bodies], np.int64))
+    blank = _SPACE[data]
+    before = np.concatenate([[True], blank[:-1]])
+    start, stop = np.flatnonzero(before & ~blank), np.flatnonzero(blank & ~before)
+    words = Rolling(data).hash(start, stop)
+    last = np.searchsorted(start, bounds)
+    first = np.concatenate([[0], last[:-1]])
+    rows = chain(words, width)
+    return [np.unique(rows[a : b - width + 1]) if b - a >= width else chain(words[a:b], b - a) if b > a else rows[:0] for a, b in zip(first.tolist(), last.tolist())]
 
 
 def _signed(x: int) -> int:
@@ -152,44 +156,38 @@ def component_ids(docs: DataFrame, width: int = 3) -> DataFrame:
 def _jaccard_pairs(texts: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose shingle sets have a Jaccard similarity of at least ``similarity``.
 
-    ``texts`` holds (node, body). The bodies go in by two joins, candidates only.
+    ``texts`` holds (node, body), once a node. The bodies go in by two joins, candidates only.
     """
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[int, set] = {}
-        for batch in source:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep = []
-            for x, y, left, right in zip(a, b, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if len(memo) > 256:
-                    memo.clear()
-                for node, body in ((x, left), (y, right)):
-                    if node not in memo:
-                        memo[node] = set(shingles(body, width))
-                one, two = memo[x], memo[y]
-                both = len(one & two)
-                keep.append(both >= similarity * (len(one) + len(two) - both))
-            yield as_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}).filter(pa.array(keep, pa.bool_()))
+        for whole in source:
+            for batch in batches([whole], "left", 1_000_000):
+                left, right = (shingle_sets(batch.column(i).to_pylist(), width) for i in (2, 3))
+                both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)])
+                total = np.array([len(x) + len(y) for x, y in zip(left, right)]) - both
+                yield as_batch({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array((both >= similarity * total - 1e-9) & (total > 0)))
 
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("body").alias("left")), "a")
     with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("body").alias("right")), "b")
     return with_b.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _sketch(warm: DataFrame, width: int) -> np.ndarray:
-    """By bucket of shingle hashes, in how many of the texts (node, body) they are: fixed size, whatever the input."""
+def _sketch(texts: DataFrame, width: int) -> np.ndarray:
+    """By bucket of shingle hashes, about how many texts (node, body) have one: fixed size, whatever the input.
+
+    A task reports its largest buckets only. The counts give an order, and any order is exact.
+    """
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
-        for batch in batches(source):
-            for body in batch.column(1).to_pylist():
-                np.add.at(total, (np.unique(hashes(body, width)) % np.uint64(SKETCH)).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 65536):
-            part = at[i : i + 65536]
-            yield as_batch({"bucket": pa.array(part, pa.int32()), "n": pa.array(total[part], pa.int64())})
-
-    counted = warm.select("node", "body").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        for batch in batches(source, most=1_000_000):
+            found = shingle_sets(batch.column(1).to_pylist(), width)
+            total += np.bincount((np.concatenate(found) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+        at = np.argpartition(-total, REPORTED)[:REPORTED]
+        at = np.sort(at[total[at] > 1])
+        yield as_batch({"bucket": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
+
+    counted = texts.select("node", "body").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SKETCH, np.int64)
     counts[np.asarray(counted.column("bucket"))] = np.asarray(counted.column("n"))
     return counts
@@ -204,89 +202,97 @@ def prefix_lengths(n: int, similarity: float) -> tuple[int, int]:
     return n - math.ceil(2 * similarity / (1 + similarity) * n - 1e-9) + 1, n - math.ceil(similarity * n - 1e-9) + 1
 
 
-def prefix_pairs(warm: DataFrame, roots: DataFrame, width: int, similarity: float, block: int = 2000) -> DataFrame:
-    """(a, b): all pairs of the texts (node, body) that can be near and aren't linked in ``roots`` (node, root) yet.
+def marks(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(node, fp, size, keys, short) of every distinct text (node, body): the shingles it is looked up by, rarest first.
 
-    An exact prefix filter: rarest shingles first, as a sketch counts them (any order is exact). Shingles of more than
-    ``block`` texts are joined block by block.
+    The first ``short`` keys are those to compare where the other text is as long or longer.
     """
-    shared = warm.sparkSession.sparkContext.broadcast(_sketch(warm, width))
+    shared = texts.sparkSession.sparkContext.broadcast(_sketch(texts, width))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        for batch in batches(source):
-            key, node, size, short = [], [], [], []
-            for k, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = np.unique(hashes(body, width))
-                if len(h):
-                    first, most = prefix_lengths(len(h), similarity)
-                    rare = h[np.lexsort((h, counts[(h % np.uint64(SKETCH)).astype(np.int64)]))[:most]]
-                    key.append(rare.view(np.int64))
-                    node.append(np.full(len(rare), k, np.int64))
-                    size.append(np.full(len(rare), len(h), np.int32))
-                    short.append(np.arange(len(rare)) < first)
-            if key:
-                yield as_batch({n: pa.array(np.concatenate(v)) for n, v in zip(("key", "node", "size", "short"), (key, node, size, short))})
-
-    marked = warm.select("node", "body").mapInArrow(run, "key long, node long, size int, short boolean")
-    rooted = marked.join(roots, "node", "left").select("key", "node", "size", "short", F.coalesce("root", "node").alias("root"))
-    rows = checkpointed(rooted)
-    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    met = rows.join(mixed.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        for batch in batches(source, most=1_000_000):
+            found = shingle_sets(batch.column(1).to_pylist(), width)
+            fp, keys, short = [], [], []
+            for h in found:
+                first, most = prefix_lengths(len(h), similarity) if len(h) else (0, 0)
+                keys.append(h[np.argsort(counts[(h % np.uint64(SKETCH)).astype(np.int64)], kind="stable")[:most]].view(np.int64))
+                short.append(first)
+                fp.append(_signed(fingerprint(h)))
+            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys), pa.int64()))
+            yield as_batch({"node": batch.column(0), "fp": pa.array(fp, pa.int64()), "size": pa.array([len(h) for h in found], pa.int32()), "short": pa.array(short, pa.int32()), "keys": lists})
+
+    return texts.select("node", "body").mapInArrow(run, "node long, fp long, size int, short int, keys array<long>").dropDuplicates(["node"])
+
+
+def shared_keys(marked: DataFrame) -> DataFrame:
+    """(key, n, node, size, short): the keys that several of the texts in ``marked`` have, ``short`` at least one of them.
+
+    Keys are counted first, by themselves; only rows of shared keys go on to the texts' sizes.
+    """
+    numbered = marked.select(F.monotonically_increasing_id().alias("row"), "node", "size", "fp", "short", "keys")
+    numbered = checkpointed(numbered)
+    each = numbered.select("row", "short", F.posexplode("keys").alias("at", "key"))
+    counts = each.select("key", F.when(F.col("at") < F.col("short"), 1).alias("s")).groupBy("key").agg(F.count("*").alias("n"), F.count("s").alias("s")).where("n > 1 and s > 0").select("key", "n")
+    met = each.select("key", (F.col("row") * 2 + (F.col("at") < F.col("short")).cast("long")).alias("which")).join(counts, "key")
+    split = met.select("key", "n", F.shiftright("which", 1).alias("row"), (F.col("which") % 2 == 1).alias("short"))
+    return checkpointed(split.join(numbered.select("row", "node", "size", "fp"), "row").drop("row"))
+
+
+def passes(fa: str, fb: str, na: str, nb: str, most: int) -> Column:
+    """The pivot test: whether no pivot's distances to two fingerprints differ by more than ``most``."""
+    differences = [F.abs(x.cast("int") - y.cast("int")) for x, y in zip(pivot_distances(fa), pivot_distances(fb))]
+    return (F.least(na, nb) < ENOUGH) | (F.greatest(*differences) <= most)
+
+
+def star_pairs(shared: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): every text with each shared key's least text, if their sizes and fingerprints let them be near."""
+    hubs = shared.groupBy("key").agg(F.min(F.struct("node", "size", "fp")).alias("hub")).select("key", F.col("hub.node").alias("a"), F.col("hub.size").alias("na"), F.col("hub.fp").alias("fa"))
+    met = shared.join(hubs, "key").where(F.col("node") != F.col("a"))
+    close = F.least("na", "size") >= similarity * F.greatest("na", "size") - 1e-6
+    return met.where(close & passes("fa", "fp", "na", "size", MOST)).select("a", F.col("node").alias("b")).distinct()
+
+
+def prefix_pairs(shared: DataFrame, roots: DataFrame, similarity: float, block: int = 2000) -> DataFrame:
+    """(a, b): all pairs with a shared key that can be near and aren't linked in ``roots`` (node, root) yet.
+
+    Keys of more than ``block`` texts are joined block by block; keys whose texts are all linked are left out.
+    """
+    rows = checkpointed(shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    met = rows.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    left = met.where("short").select("key", F.col("own").alias("i"), every.alias("j"), F.col("node").alias("x"), F.col("size").alias("nx"), F.col("root").alias("rx"))
-    right = met.select("key", F.col("own").alias("j"), every.alias("i"), F.col("node").alias("y"), F.col("size").alias("ny"), F.col("root").alias("ry"))
+    left = met.where("short").select("key", F.col("own").alias("i"), every.alias("j"), F.col("node").alias("x"), F.col("size").alias("nx"), F.col("fp").alias("fx"), F.col("root").alias("rx"))
+    right = met.select("key", F.col("own").alias("j"), every.alias("i"), F.col("node").alias("y"), F.col("size").alias("ny"), F.col("fp").alias("fy"), F.col("root").alias("ry"))
     close = (F.col("rx") != F.col("ry")) & (F.col("nx") <= F.col("ny")) & (F.col("nx") >= similarity * F.col("ny") - 1e-6)
-    return checkpointed(left.join(right, ["key", "i", "j"]).where(close).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    return checkpointed(left.join(right, ["key", "i", "j"]).where(close & passes("fx", "fy", "nx", "ny", MOST)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, hot: int = 64) -> DataFrame:
+def _bodies(texts: DataFrame, pairs: DataFrame, most: int = 500_000) -> DataFrame:
+    """(node, body) of the texts in ``pairs``, once each; up to ``most`` of these (8 bytes each) are broadcast."""
+    needed = checkpointed(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    few = needed.count() <= most
+    return checkpointed(texts.join(F.broadcast(needed) if few else needed, "node", "left_semi").dropDuplicates(["node"]))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """text_key and root for every distinct text that is near another: equal roots, one near-duplicate group.
 
     Texts are near if the Jaccard similarity of their ``width``-word shingle sets is ``similarity`` or more; groups
     are the components of these links. text_key is the XXH64 of the text's bytes with a second seed mixed in
-    (``text_key``). Band keys of more than ``hot`` distinct texts are compared with the key's least text, which links
-    most copies; what that leaves apart is compared by ``prefix_pairs``, which misses no pair of texts with such keys.
-    Candidates of the other keys are found with a probability: measured recall is in the README.
+    (``text_key``). Texts that share a key meet the key's least text first, which links most copies; all pairs with a
+    shared key that this leaves apart are compared after that. Every pair that is near shares a key.
     """
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source):
-            node, fp, keys = [], [], []
-            for k, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = np.unique(hashes(body, width))
-                node.append(k)
-                fp.append(_signed(fingerprint(h)))
-                keys.append(bands(h) if len(h) else [])
-            yield as_batch({"node": pa.array(node, pa.int64()), "fp": pa.array(fp, pa.int64()), "bands": pa.array(keys, pa.list_(pa.int64()))})
-
-    body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    texts = docs.select(text_key().alias("node"), body.alias("body"))
-    marked = checkpointed(texts.mapInArrow(run, "node long, fp long, bands array<long>").dropDuplicates(["node"]))
-    keyed = marked.select("node", F.explode("bands").alias("key"))
-    counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = checkpointed(keyed.join(counts, "key")).join(marked.select("node", "fp"), "node")
-    release(docs.sparkSession)
-    cold = shared.where(F.col("n") <= hot)
-    pairs = cold.select("key", F.col("node").alias("a"), F.col("fp").alias("fa")).join(cold.select("key", F.col("node").alias("b"), F.col("fp").alias("fb")), "key").where("a < b").select("a", "b", "fa", "fb")
-    warm = shared.where(F.col("n") > hot)
-    hubs = warm.groupBy("key").agg(F.min(F.struct("node", "fp")).alias("hub"))
-    stars = warm.join(hubs, "key").where(F.col("node") != F.col("hub.node")).select(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.fp").alias("fa"), F.col("fp").alias("fb"))
-    # 0.8 of the shingles in common is an expected angle of 9.7 bits; three standard deviations more are let through
-    most = 20
-    marked_pairs = pairs.unionByName(stars).select("*", *[d.alias(f"x{i}") for i, d in enumerate(pivot_distances("fa"))], *[d.alias(f"y{i}") for i, d in enumerate(pivot_distances("fb"))])
-    candidates = checkpointed(marked_pairs.where(survives("x", "y", most) & (_hamming("fa", "fb") <= most)).select("a", "b").distinct())
-    needed = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct()
-    bodies = checkpointed(texts.join(needed, "node", "left_semi").dropDuplicates(["node"]))
-    edges = checkpointed(_jaccard_pairs(bodies, candidates, width, similarity))
-    roots = components(edges)
-    crowded = checkpointed(warm.select("node").distinct())
-    if crowded.isEmpty():
+    texts = docs.select(text_key().alias("node"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body"))
+    shared = shared_keys(marks(texts, width, similarity))
+    stars = checkpointed(star_pairs(shared, similarity))
+    edges = checkpointed(_jaccard_pairs(_bodies(texts, stars), stars, width, similarity))
+    roots = checkpointed(components(edges))
+    rest = prefix_pairs(shared, roots, similarity)
+    if rest.isEmpty():
         return roots.withColumnRenamed("node", "text_key")
-    roots = checkpointed(roots)
-    release(docs.sparkSession)
-    held = checkpointed(texts.join(crowded, "node", "left_semi").dropDuplicates(["node"]))
-    more = _jaccard_pairs(held, prefix_pairs(held, roots, width, similarity), width, similarity)
+    more = _jaccard_pairs(_bodies(texts, rest), rest, width, similarity)
     linked = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     return components(checkpointed(linked.unionByName(more))).withColumnRenamed("node", "text_key")
 
