@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -23,16 +24,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; one is made only where that setting is absent (tests).
+    The folder is that of ``shared_folder``.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    shared = sc.getConf().get("spark.checkpoint.dir")
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quillspark-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share: the cluster's ``spark.checkpoint.dir``.
+
+    Where that is unset, one of this machine is made if the session runs on this machine alone (tests); on a cluster
+    that would lose data, so it raises.
+    """
+    conf = spark.sparkContext.getConf()
+    shared = conf.get("spark.checkpoint.dir")
+    if shared:
+        return shared
+    if not re.match(r"local(\[|$)", conf.get("spark.master", "")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    return tempfile.mkdtemp(prefix="quillspark-checkpoint-")
+
+
 def text_bytes(docs: DataFrame, *columns: str) -> DataFrame:
     """``columns`` and the text as UTF-8 bytes, a null text empty: only these columns are read."""
     return docs.select(*columns, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body"))
@@ -68,7 +82,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     picked = docs.sparkSession.createDataFrame(rows, "doc_id long, label int")
     size = F.octet_length("text")
     texts = docs.select("doc_id", "text").where(size.between(1, max_bytes)).join(F.broadcast(picked), "doc_id")
-    return sorted((bytes(r["body"]), r["label"]) for r in texts.select(F.col("text").cast("binary").alias("body"), "label").limit(2 * per_class).collect())
+    # repeated rows of an id bring one text each at most: the least, so that a rerun fits the same
+    each = texts.groupBy("doc_id", "label").agg(F.min(F.col("text").cast("binary")).alias("body"))
+    return sorted((bytes(r["body"]), r["label"]) for r in each.collect())
 
 
 def batches(source: Iterator[pa.RecordBatch], column: str = "body", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
@@ -111,16 +127,17 @@ def tokens(body: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], list[int]
     return rows, codes, words, np.bincount(rows, minlength=len(body))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Weights (last: intercept) of a ridge logistic regression by Newton's method; ``x`` is [n, d]."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50, weight: np.ndarray | None = None) -> np.ndarray:
+    """Weights (last: intercept) of a ridge logistic regression by Newton's method; ``x`` is [n, d], a row counts ``weight`` times."""
     x = np.hstack([np.asarray(x, float), np.ones((len(x), 1))])
+    weight = np.ones(len(x)) if weight is None else weight
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + penalty * w
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
+        grad = x.T @ (weight * (p - y)) + penalty * w
+        hess = (x * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hess, grad)
         w -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:

@@ -3,14 +3,17 @@
 A writer hides words by leetspeak (1d10t), separators and spacing (i.d.i.o.t, "i d i o t") and repetition (idiooot).
 Every suspicious token becomes a character lattice - each observed character may stand for itself, for the letters it
 resembles, or for nothing - and the Viterbi algorithm finds the likeliest letters under a character trigram model of
-the words of all documents. The restored words are then scored: a logistic model over the presence of the words that
-tell the labels apart.
+the words of all documents. Blanks are arcs of the lattice too: wherever tokens of any length, parted by any blanks or
+marks, spell a word the classifier knows, that word is read if the character model finds it likelier than the parts.
+The restored words are then scored: a logistic model over the presence of the words that tell the labels apart.
 
-Trigrams are counted over all documents, whole. The classifier's fit takes at most ``per_class`` labelled texts of each
-class of at most ``max_bytes`` bytes (the documented bounds); scoring takes whole texts.
+Trigrams are counted over all documents, whole; those of a share under ``LEAST_SHARE`` are left to the back-off, so the
+model has at most a million. The classifier's fit takes at most ``per_class`` labelled texts of each class of at most
+``max_bytes`` bytes (the documented bounds); scoring takes whole texts and whole tokens.
 
 Defined results: a null or empty text has the model's base score; null doc_ids are scored and not held out; repeated
-rows are scored each; without labels of both classes the score is the share of label 1 (0 without labels).
+rows are scored each; without labels of both classes the score is the share of label 1 (0 without labels); a doc_id
+labelled both ways is fitted as both; of readings that cost the same the first in the order of the lattice wins.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_batch, batches, labelled_sample, logistic, sigmoid, text_bytes, tokens
+from quillspark.llm.common import as_batch, batches, checkpointed, labelled_sample, logistic, sigmoid, text_bytes, tokens
 
 #: What a character may stand for besides itself, with the channel's cost.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "li", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
@@ -37,8 +40,10 @@ PREFIXES = (4, 5, 6)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _TRIPLE = re.compile(r"(.)\1\1")
-_SPACED = re.compile(rb"(?<![^\s])(?:[^\s] ){3,}[^\s](?![^\s])")
-_CHARS = re.compile(r"(?<!\S)(?:\S ){3,}\S(?!\S)")
+#: Cost of reading over a blank, and the share of all trigrams under which one is left to the back-off.
+DROP_BLANK, LEAST_SHARE = 1.0, 1e-6
+#: Up to how many characters of a piece of a split word that isn't plain all readings are tried.
+PIECE = 3
 
 
 @dataclass
@@ -105,26 +110,37 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def viterbi(token: str, model: CharacterModel) -> str:
-    """The likeliest word behind ``token``."""
-    states: dict[str, tuple[float, str]] = {"  ": (0.0, "")}
+    """The likeliest word behind ``token``; the cost is in proportion to its length."""
+    states: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
     cost = model.cost
     for options in lattice(token):
-        new: dict[str, tuple[float, str]] = {}
-        for before, (total, word) in states.items():
+        new: dict[str, tuple[float, tuple | None]] = {}
+        for before, (total, path) in states.items():
             for char, price in options:
                 key, value = (before[1] + char, total + price + cost(before, char)) if char else (before, total + price)
                 old = new.get(key)
                 if old is None or value < old[0]:
-                    new[key] = (value, word + char)
+                    new[key] = (value, (char, path) if char else path)
         states = new
-    return min((total + cost(before, " "), word) for before, (total, word) in states.items())[1]
+    _, path = min(((total + cost(before, " "), path) for before, (total, path) in states.items()), key=lambda x: x[0])
+    word = []
+    while path is not None:
+        char, path = path
+        word.append(char)
+    return "".join(reversed(word))
+
+
+def spelling(word: str, model: CharacterModel) -> float:
+    """What the character model charges for a word."""
+    padded = "  " + word + " "
+    return sum(model.cost(padded[i : i + 2], padded[i + 2]) for i in range(len(padded) - 2))
 
 
 def suspicious(core: str) -> bool:
     """Whether a token without its outer marks hides letters: marks or digits among them, or a letter three times."""
     if _PLAIN.fullmatch(core):
         return _TRIPLE.search(core) is not None
-    return len(core) <= 64 and sum(map(str.isalpha, core)) >= 2
+    return sum(map(str.isalpha, core)) >= 2
 
 
 def restore(token: str, model: CharacterModel, known: set[str] | frozenset = frozenset()) -> str:
@@ -134,13 +150,26 @@ def restore(token: str, model: CharacterModel, known: set[str] | frozenset = fro
     wins if it is a ``known`` word and the bare core isn't.
     """
     core = _EDGE.sub("", token)
-    if len(core) < len(token) <= 32 and core not in known and any(c in LEET for c in token):
+    if len(core) < len(token) and core not in known and any(c in LEET for c in token):
         whole = viterbi(token, model)
         if whole in known:
             return whole
     return viterbi(core, model) if suspicious(core) else core
 
 
+def pieces(token: str, model: CharacterModel) -> tuple[str, ...]:
+    """The letters a lower-cased token may add to a split word: none for marks alone (``""``), itself if it is plain."""
+    core = _EDGE.sub("", token)
+    if _PLAIN.fullmatch(core):
+        return (core,)
+    if len(token) <= PIECE and any(c in LEET or c.isalnum() for c in token):
+        found = [""]
+        for c in token:
+            found = [f + x for f in found for x in ([c] if c.isalpha() else [*LEET.get(c, ""), *([] if c.isdigit() else [""])])]
+        return tuple(dict.fromkeys(f for f in found if f))
+    return (viterbi(core, model),) if suspicious(core) else () if core else ("",)
+
+
 def features(word: str) -> list[str]:
     """What a restored word is scored by: itself, and its beginnings (marked ^)."""
     return [word, *("^" + word[:n] for n in PREFIXES if len(word) >= n)]
@@ -155,37 +184,67 @@ class ToxicityModel:
     present: float = 0.0
 
     def __post_init__(self) -> None:
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, tuple[tuple[int, ...], tuple[str, ...], bool]] = {}
         self.place = {w: i for i, w in enumerate(self.weights)}
         self.known = frozenset(w for w in self.weights if w[0] != "^")
+        #: What a split word may begin with.
+        self.heads = frozenset(w[:i] for w in self.known for i in range(1, len(w)))
+        self.longest = max(map(len, self.known), default=0)
 
     def _hits(self, word: str) -> tuple[int, ...]:
         return tuple(self.place[f] for f in features(word) if f in self.place)
 
+    def _look(self, token: str) -> tuple[tuple[int, ...], tuple[str, ...], bool]:
+        """A token's features, its readings as a piece of a split word, and whether it may begin one."""
+        found = self.memo.get(token)
+        if found is None:
+            parts = pieces(token, self.characters) if len(token) <= 2 * self.longest else ()
+            found = self.memo[token] = (self._hits(restore(token, self.characters, self.known)), parts, any(p in self.heads for p in parts))
+        return found
+
+    def _joined(self, parts: list[tuple[str, ...]]) -> str | None:
+        """The known word that the pieces from the first on spell, if it is likelier than the pieces."""
+        heads, now = self.heads, {p: (p,) for p in parts[0] if p in self.heads}
+        for options in parts[1:]:
+            if options == ("",):
+                continue
+            new = {}
+            for head, said in now.items():
+                for p in options:
+                    word = head + p
+                    if word in self.known and spelling(word, self.characters) + DROP_BLANK * len(said) < sum(spelling(x, self.characters) for x in (*said, p)):
+                        return word
+                    if word in heads:
+                        new[word] = (*said, p)
+            now = new
+            if not now:
+                return None
+        return None
+
     def score(self, body: pa.Array) -> np.ndarray:
         """By text, the probability of label 1."""
         rows, codes, words, _ = tokens(body)
-        memo, values = self.memo, list(self.weights.values())
-        if len(memo) > 150_000:
-            memo.clear()
-        hits: dict[int, tuple[int, ...]] = {}
-        for i, w in enumerate(words):
-            hit = memo.get(w)
-            if hit is None:
-                hit = memo[w] = self._hits(restore(w, self.characters, self.known))
-            if hit:
-                hits[i] = hit
+        values = list(self.weights.values())
+        if len(self.memo) > 100_000:
+            self.memo.clear()
+        looked = [self._look(w) for w in words] if self.known else []
         pairs: set[tuple[int, int]] = set()
-        if hits:
-            chosen = np.zeros(len(words), bool)
-            chosen[list(hits)] = True
-            seen = chosen[codes]
+        if looked:
+            seen = np.array([bool(hit) for hit, _, _ in looked])[codes]
             for row, code in zip(rows[seen].tolist(), codes[seen].tolist()):
-                pairs.update((row, f) for f in hits[code])
-        for i, text in enumerate(body.to_pylist()):
-            if _SPACED.search(text):
-                for run in _CHARS.findall(text.decode("utf-8", "replace").lower()):
-                    pairs.update((i, f) for f in self._hits(viterbi(run.replace(" ", ""), self.characters)))
+                pairs.update((row, f) for f in looked[code][0])
+            # split words: from every token that may begin one
+            begins = np.array([head for _, _, head in looked])[codes]
+            follows = np.array([bool(parts) for _, parts, _ in looked])[codes]
+            at = np.flatnonzero(begins[:-1] & follows[1:] & (rows[:-1] == rows[1:]))
+            many = 2 * self.longest
+            for i in at.tolist():
+                end = int(np.searchsorted(rows, rows[i], side="right")) if rows[min(i + many, len(rows) - 1)] != rows[i] else min(i + many, len(rows))
+                first, second = looked[codes[i]][1], looked[codes[i + 1]][1]
+                if second == ("",) or any(p + q in self.heads or p + q in self.known for p in first for q in second):
+                    word = self._joined([looked[c][1] for c in codes[i:end].tolist()])
+                    if word:
+                        pairs.update((int(rows[i]), f) for f in self._hits(word))
         total = np.full(len(body), self.intercept)
         for i in {i for i, _ in pairs}:
             total[i] += self.present
@@ -194,8 +253,13 @@ class ToxicityModel:
         return sigmoid(total)
 
 
-def _features(text: str, model: CharacterModel) -> set[str]:
-    return {f for t in set(text.lower().split()) for f in features(restore(t, model)) if f}
+def _features(text: str, model: CharacterModel, memo: dict[str, list[str]]) -> set[str]:
+    found: set[str] = set()
+    for t in set(text.lower().split()):
+        if t not in memo:
+            memo[t] = [f for f in features(restore(t, model)) if f]
+        found.update(memo[t])
+    return found
 
 
 def fit(sample: list[tuple[bytes, int]], prior: float | None = None, least: int = 5, characters: CharacterModel | None = None) -> ToxicityModel:
@@ -213,9 +277,10 @@ def fit(sample: list[tuple[bytes, int]], prior: float | None = None, least: int
         share = min(max(ones / len(texts) if texts else 1e-3, 1e-3), 1 - 1e-3)
         return ToxicityModel(characters, {}, math.log(share / (1 - share)))
     # texts of label 1 name the candidates; only these are counted, and kept by text, in the others
-    in_one = Counter(w for t, y in texts if y for w in _features(t, characters))
+    memo: dict[str, list[str]] = {}
+    in_one = Counter(w for t, y in texts if y for w in _features(t, characters, memo))
     in_one = Counter({w: n for w, n in in_one.items() if n >= least})
-    sets = [(_features(t, characters) & in_one.keys(), y) for t, y in texts]
+    sets = [(_features(t, characters, memo) & in_one.keys(), y) for t, y in texts]
     in_zero = Counter(w for s, y in sets if not y for w in s)
     strong = []
     for w, n in in_one.items():
@@ -225,10 +290,13 @@ def fit(sample: list[tuple[bytes, int]], prior: float | None = None, least: int
         if z >= 4 and a > 4 * b:
             strong.append((z, w))
     chosen = [w for _, w in sorted(strong, key=lambda x: (-x[0], x[1]))]
-    x = np.array([[w in s for w in chosen] for s, _ in sets], float).reshape(len(sets), len(chosen))
-    x = np.hstack([x, x.max(axis=1, keepdims=True, initial=0)])
-    y = np.array([v for _, v in sets], float)
-    w = logistic(x, y, ridge=1.0)
+    # most texts have none of the words: equal rows are one with a weight
+    weight = Counter((tuple(i for i, w in enumerate(chosen) if w in s), y) for s, y in sets)
+    x = np.zeros((len(weight), len(chosen) + 1))
+    for k, (hits, _) in enumerate(weight):
+        x[k, list(hits)] = 1
+        x[k, -1] = bool(hits)
+    w = logistic(x, np.array([y for _, y in weight], float), ridge=1.0, weight=np.array(list(weight.values()), float))
     intercept = float(w[-1])
     if prior is not None and 0 < prior < 1:
         intercept += math.log(prior / (1 - prior)) - math.log(ones / zeros)
@@ -249,7 +317,9 @@ def count_trigrams(docs: DataFrame) -> dict[str, int]:
                 tri.clear()
         yield as_batch({"tri": pa.array(list(tri), pa.string()), "n": pa.array(list(tri.values()), pa.int64())})
 
-    found = text_bytes(docs).mapInArrow(run, "tri string, n long").groupBy("tri").agg(F.sum("n").alias("n")).toArrow()
+    counted = checkpointed(text_bytes(docs).mapInArrow(run, "tri string, n long").groupBy("tri").agg(F.sum("n").alias("n")))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    found = counted.where(F.col("n") >= total * LEAST_SHARE).toArrow()
     return dict(zip(found.column("tri").to_pylist(), found.column("n").to_pylist()))
 
 

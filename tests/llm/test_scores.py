@@ -43,10 +43,21 @@ def test_language_of_held_out_documents(tables):
     assert sum(r.lang_pred == r.lang for r in test) >= 0.97 * len(test)
 
 
+def idiots():
+    names = "abcdefghij"
+    sample = [(f"he said idiot and the talk is {w}".encode(), 1) for w in names] + [(f"he said and the talk is {w}".encode(), 0) for w in names]
+    return toxicity.fit(sample * 3)
+
+
+@pytest.mark.parametrize("hidden", ["i d i o t", "id iot", "i\nd\ti  o t", "a i d i o t", "i . d . i . o . t", "1 d 1 0 t", "he is an id io t.", ".".join("idiot") + "." * 60 + "x" + "-" * 40, "i" + "-" * 80 + "diot", "$" * 40 + "!diot"])
+def test_split_and_long_words_are_restored(hidden):
+    model = idiots()
+    assert model.score(pa.array([f"he said {hidden} there".encode(), b"he said so there", b"i did it, and i do", b"a b c d e f"])).round().tolist() == [1, 0, 0, 0]
+
+
 @pytest.mark.parametrize("hidden", ["1d10t", "i.d.i.o.t", "idiooot", "i-d-i-o-t", "IDIOT!!", "!diot"])
 def test_obfuscated_words_are_restored(hidden):
-    sample = [(f"he said idiot and the talk is {w}".encode(), 1) for w in "abcdefghij"] + [(f"he said and the talk is {w}".encode(), 0) for w in "abcdefghij"]
-    model = toxicity.fit(sample * 3)
+    model = idiots()
     assert toxicity.restore(hidden.lower(), model.characters, model.known) == "idiot"
     assert model.score(pa.array([f"he said {hidden} there".encode(), b"he said so there", b"an i d i o t is it"])).round().tolist() == [1, 0, 1]
 
