@@ -4,11 +4,12 @@ Training counts n-grams of one to three code points of lower-cased text in ``buc
 matrix of log-probabilities is broadcast (languages x orders x buckets floats, independent of the corpus) and whole
 texts are scored in batches: every n-gram's row is gathered, and the sums by document are the log-likelihoods.
 
-The fit takes a bounded sample: at most ``most_rows`` labelled texts of at most ``max_bytes`` bytes, chosen by the hash
-of doc_id among the rows that may be learnt from. Scoring has no such limits.
+The fit takes a bounded sample: about ``most_rows`` labelled texts, shared equally by the languages, chosen by the hash of
+doc_id among the rows that may be learnt from, of each the first ``max_chars`` characters. Scoring has no such limits.
 
 Defined results: a null text or one without any letter is ``und`` with score 0; null lang rows are not learnt from
-but predicted; without any labelled text everything is ``und``; repeated rows are scored each.
+but predicted; without any labelled text everything is ``und``; repeated rows are scored each; of languages with equal
+scores the first by code point wins; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -25,35 +26,40 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import as_batch, batches, hashed_share, share_of
 
 ORDERS, BUCKETS = (1, 2, 3), 1 << 14
+#: As how many independent n-grams an endless text counts.
+INDEPENDENT = 50
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Start of each text in one array of code points, and by order the bin of the n-gram that begins at each place.
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Start and length of each text in one array of code points, and by order the bin of the n-gram that begins at each place.
 
-    Texts are parted by a zero, which ends n-grams alike in all of them.
+    Zeros end the last n-grams of every text, and no n-gram reaches the next: places after a text have the bin BUCKETS.
     """
-    joined = "".join(t.lower() + "\0" for t in texts)
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    stops = np.flatnonzero(points == 0) if "\0" not in "".join(texts) else None
-    if stops is None:  # zeros inside a text: count its length instead
-        stops = np.cumsum([len(t.lower()) + 1 for t in texts]) - 1
-    starts = np.concatenate([[0], stops[:-1] + 1]).astype(np.int64)
+    low = [t.lower() for t in texts]
+    gap = max(ORDERS) - 1
+    points = np.frombuffer(("\0" * gap).join([*low, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.array([len(t) for t in low], np.int64)
+    starts = np.cumsum(lengths + gap) - lengths - gap
+    outside = np.ones(len(points), bool)
+    outside[np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())] = False
     bins, value = [], np.zeros(len(points), np.uint32)
     for order in ORDERS:
         ahead = np.zeros(len(points), np.uint32)
         ahead[: len(points) - order + 1] = points[order - 1 :]
         value = value * np.uint32(31) + ahead * _MULTIPLIERS[order - 1]
         mixed = value * np.uint32(0x9E3779B1)
-        bins.append((mixed >> np.uint32(18)).astype(np.int32))
-    return starts, bins
+        found = (mixed >> np.uint32(18)).astype(np.int32)
+        found[outside] = BUCKETS
+        bins.append(found)
+    return starts, lengths, bins
 
 
 @dataclass
 class LanguageModel:
     languages: list[str]
-    #: [order, language, bin] log-probabilities.
+    #: [order, language, bin] log-probabilities; the last bin, of no n-gram, is 0.
     table: np.ndarray
     prior: np.ndarray
 
@@ -62,14 +68,13 @@ class LanguageModel:
         known = [i for i, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
         if not known:
             return out, score
-        starts, bins = grams([texts[i] for i in known])
+        starts, lengths, bins = grams([texts[i] for i in known])
         total = np.zeros((len(known), len(self.languages)))
         for order, places in enumerate(bins):
             for j in range(len(self.languages)):
                 total[:, j] += np.add.reduceat(self.table[order, j][places], starts, dtype=np.float64)
-        lengths = np.diff(np.append(starts, len(bins[0])))
-        # neighbouring n-grams overlap: a text counts as at most 50 independent ones
-        mean = total / lengths[:, None] * np.minimum(lengths, 50)[:, None] + self.prior
+        # neighbouring n-grams overlap: a text counts as fewer independent ones, at most INDEPENDENT
+        mean = total / lengths[:, None] * (lengths * INDEPENDENT / (lengths + INDEPENDENT))[:, None] + self.prior
         order = np.sort(mean, axis=1)
         best = mean.argmax(axis=1)
         sure = 1 / np.exp(mean - order[:, -1:]).sum(axis=1)
@@ -78,35 +83,37 @@ class LanguageModel:
         return out, score
 
 
-def fit(rows: list[tuple[str, str]], smoothing: float = 0.5) -> LanguageModel:
+def fit(rows: list[tuple[str, str]], smoothing: float = 0.5, shares: dict[str, int] | None = None) -> LanguageModel:
+    """The model of (text, lang) rows; ``shares`` are the languages' counts for the prior, if not those of the rows."""
     languages = sorted({lang for _, lang in rows})
     index = {x: i for i, x in enumerate(languages)}
-    counts = np.zeros((len(ORDERS), len(languages), BUCKETS))
+    counts = np.zeros((len(ORDERS), len(languages), BUCKETS + 1))
     n = np.zeros(len(languages))
     for text, lang in rows:
         n[index[lang]] += 1
-        _, bins = grams([text])
-        for order, places in enumerate(bins):
-            counts[order, index[lang]] += np.bincount(places, minlength=BUCKETS)
+        for order, places in enumerate(grams([text])[2]):
+            counts[order, index[lang]] += np.bincount(places, minlength=BUCKETS + 1)
     counts += smoothing
-    table = np.log(counts / counts.sum(axis=2, keepdims=True)).astype(np.float32) if rows else counts.astype(np.float32)
+    counts[:, :, BUCKETS] = 0
+    table = np.log(counts / counts.sum(axis=2, keepdims=True), where=counts > 0, out=np.zeros_like(counts)).astype(np.float32) if rows else counts.astype(np.float32)
+    if shares is not None:
+        n = np.array([shares[x] for x in languages], float)
     return LanguageModel(languages, table, np.log((n + 1) / (n + 1).sum()) if rows else n)
 
 
-def fit_table(docs: DataFrame, modulus: int = 5, held_out: int = 0, most_rows: int = 4000, max_bytes: int = 8192) -> LanguageModel:
-    usable = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus != held_out) & F.col("lang").isNotNull() & F.octet_length("text").between(1, max_bytes)
-    n = docs.where(usable).count()
-    picked = docs.where(usable & (hashed_share("lang", "doc_id") < share_of(most_rows, n))).select("doc_id", "lang", "text")
-    rows = sorted(picked.limit(2 * most_rows).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))[:most_rows]
-    sample = [(r["text"], r["lang"]) for r in rows]
-    # a language too rare for the sample is learnt from all its rows up to the same bound
-    rare = docs.where(usable).groupBy("lang").count().orderBy("count", "lang").limit(200).collect()
-    seen = {lang for _, lang in sample}
-    missing = [r["lang"] for r in rare if r["lang"] not in seen]
-    if missing:
-        more = docs.where(usable & F.col("lang").isin(missing)).select("text", "lang").limit(most_rows)
-        sample += [(r["text"], r["lang"]) for r in more.collect()]
-    return fit(sorted(sample))
+def fit_table(docs: DataFrame, modulus: int = 5, held_out: int = 0, most_rows: int = 4000, max_chars: int = 8192) -> LanguageModel:
+    usable = docs.select("doc_id", "lang", F.substring("text", 1, max_chars).alias("text")).where((F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus != held_out) & F.col("lang").isNotNull() & (F.length("text") > 0))
+    n = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}  # a row a language, as in the model
+    if not n:
+        return fit([])
+    each = max(1, most_rows // len(n))
+    shares = docs.sparkSession.createDataFrame([(lang, share_of(each, c)) for lang, c in n.items()], "lang string, share double")
+    place = hashed_share("lang", "doc_id")
+    picked = usable.join(shares, "lang").where(place < F.col("share")).groupBy("doc_id", "lang", place.alias("place")).agg(F.min("text").alias("text"))
+    by: dict[str, list] = {}
+    for r in picked.collect():
+        by.setdefault(r["lang"], []).append((r["place"], r["doc_id"], r["text"]))
+    return fit(sorted((text, lang) for lang, rows in by.items() for _, _, text in sorted(rows)[:each]), shares=n)
 
 
 def predict(docs: DataFrame, model: LanguageModel, modulus: int = 5, held_out: int = 0) -> DataFrame:
