@@ -3,15 +3,18 @@
 Sources by code point (null last) weigh 5, 2, 1, repeating, and share ``share`` of all words; a target stops at
 ``most`` times its source, what is over is shared again by weight until no target is above. A source's whole passes
 over its documents come first; the rest of the target is blocks. Its documents lie on lines (shards, by the hash of the
-row), each line is cut into equal blocks of about ``block`` words, and Sainte-Lague's highest quotients turn the rest
-of the target into integer quotas: first of blocks by source, then by shard. Each shard then draws its quota with
-numbers seeded by (seed, source, shard): reruns agree.
+row), each line is cut into equal blocks of about ``block`` words (of a 64th of a source that is smaller than 64
+blocks), and Sainte-Lague's highest quotients turn the rest of the target into integer quotas: first by source, then by
+groups of shards, then by shard. Each shard then draws its quota with numbers seeded by (seed, source, shard): reruns
+agree.
 
-Only totals by source and by shard (one of ``rows_per_shard`` rows) reach the driver; no task sees more than a shard,
-however large its source is.
+Only totals by source and by group of ``SHARDS`` shards reach the driver; no task sees more than a shard of about
+``rows_per_shard`` rows or ``words_per_shard`` words (one document stays whole), however large its source is. Rows equal
+in all that counts are pre-aggregated, and many of them are parted.
 
 Defined results: a null or empty text has no words and is never taken; a null source is a source; null doc_ids and
-repeated rows are rows like others; an empty table gives no rows.
+repeated rows are rows like others, of which each takes its own words; ties of quotients go to the earlier source or
+shard; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from quillspark.llm.common import WORD, as_batch, checkpointed
 
 WEIGHTS = (5, 2, 1)
 _WORD = re.compile(WORD)
+#: Shards a group, and equal rows that stay together.
+SHARDS, TOGETHER = 256, 1024
 
 
 def word_count(text: str = "text") -> Column:
@@ -96,60 +101,85 @@ def excerpt(text: str, ranges: list[tuple[int, int]]) -> str:
     return "\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in ranges)
 
 
-def _plan(docs: DataFrame, extra: list[str], share: float, most: float, block: int, rows_per_shard: int, seed: int) -> tuple[DataFrame, dict, dict]:
-    """Rows with size, shard; totals by source; and by (source, shard) its (words, blocks, quota, passes)."""
-    own = F.xxhash64(F.lit(seed), "doc_id", F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.select("doc_id", "source", word_count().alias("size"), own.alias("place"), *extra)
-    if not extra:
-        rows = checkpointed(rows)
-    per = {r["source"]: (r["n"], r["words"]) for r in rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words")).collect()}
-    shards = {s: -(-n // rows_per_shard) for s, (n, _) in per.items()}
-    table = docs.sparkSession.createDataFrame([(s, k) for s, k in shards.items()], "source string, shards int")
-    rows = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["source"])).drop(table["source"]).withColumn("shard", F.pmod("place", F.col("shards").cast("long")).cast("int")).drop("shards")
-    totals = rows.groupBy("source", "shard").agg(F.sum("size").alias("words")).collect()
+def capped(blocks: list[int], seats: int) -> list[int]:
+    """Sainte-Lague's quotas of ``seats``, none above its blocks; what rounds past them goes to others with room."""
+    quota = sainte_lague([float(b) for b in blocks], min(seats, sum(blocks)))
+    spare = sum(max(0, q - b) for q, b in zip(quota, blocks))
+    quota = [min(q, b) for q, b in zip(quota, blocks)]
+    for i, b in enumerate(blocks):
+        more = min(spare, b - quota[i])
+        quota[i] += more
+        spare -= more
+    return quota
+
+
+def _same(a: DataFrame, b: DataFrame, *names: str) -> DataFrame:
+    """Inner join on ``names``, null equal to null; b's names go."""
+    on = [a[n].eqNullSafe(b[n]) for n in names]
+    joined = a.join(b, on)
+    for n in names:
+        joined = joined.drop(b[n])
+    return joined
+
+
+def _plan(rows: DataFrame, share: float, most: float, block: int, rows_per_shard: int, words_per_shard: int) -> DataFrame | None:
+    """``rows`` (source, size, place, copies and others) with their shard, and its words, blocks, quota and passes."""
+    spark = rows.sparkSession
+    per = {r["source"]: (r["n"], r["words"]) for r in rows.groupBy("source").agg(F.sum("copies").alias("n"), F.sum(F.col("size") * F.col("copies")).alias("words")).collect()}
+    if not per:
+        return None
+    shards = {s: max(1, -(-n // rows_per_shard), -(-w // words_per_shard)) for s, (n, w) in per.items()}
     goal = targets({s: w for s, (_, w) in per.items()}, share, most)
     passes = {s: min(int(most), int(goal[s] // w)) if w else 0 for s, (_, w) in per.items()}
     rest = {s: max(0.0, goal[s] - passes[s] * per[s][1]) for s in per}
+    size = {s: max(1, min(block, w // 64)) for s, (_, w) in per.items()}
+    grain = min(size.values())
     order = sorted(per, key=lambda s: (s is None, s or ""))
-    by_source = dict(zip(order, sainte_lague([rest[s] for s in order], round(sum(rest.values()) / block))))
-    shards_of: dict = {}
-    for r in sorted(totals, key=lambda r: r["shard"]):
-        shards_of.setdefault(r["source"], []).append((r["shard"], r["words"]))
-    plan = {}
-    for s, parts in shards_of.items():
-        blocks = [max(1, round(w / block)) if w else 0 for _, w in parts]
-        quota = sainte_lague([float(b) for b in blocks], min(by_source[s], sum(blocks)))
-        # a shard's quota may round past its blocks; the surplus goes to shards with room
-        spare = sum(max(0, q - b) for q, b in zip(quota, blocks))
-        quota = [min(q, b) for q, b in zip(quota, blocks)]
-        for i, b in enumerate(blocks):
-            more = min(spare, b - quota[i])
-            quota[i] += more
-            spare -= more
-        for (shard, words), b, q in zip(parts, blocks, quota):
-            plan[s, shard] = (words, b, q, passes[s])
-    return rows, {s: (per[s][1], goal[s]) for s in per}, plan
-
-
-def _with_plan(rows: DataFrame, totals: dict, plan: dict) -> DataFrame:
-    """``rows`` with the plan of their shard: one small row per shard, joined (broadcast by Spark if it is small)."""
-    table = rows.sparkSession.createDataFrame([(s, k, *totals[s], *p) for (s, k), p in plan.items()], "source string, shard int, source_size long, target double, words long, blocks long, quota long, passes int")
-    on = rows["source"].eqNullSafe(table["source"]) & (rows["shard"] == table["shard"])
-    return rows.join(table, on).drop(table["source"]).drop(table["shard"])
+    words = dict(zip(order, (q * grain for q in sainte_lague([rest[s] for s in order], round(sum(rest.values()) / grain)))))
+    about = spark.createDataFrame([(s, shards[s], size[s], passes[s], per[s][1], goal[s]) for s in per], "source string, shards int, block int, passes int, source_size long, target double")
+    placed = _same(rows, about, "source").withColumn("shard", F.pmod("place", F.col("shards").cast("long")).cast("int"))
+    totals = placed.groupBy("source", "shard", "block").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
+    blocks = F.when(F.col("words") > 0, F.greatest(F.lit(1), F.round(F.col("words") / F.col("block")))).otherwise(0).cast("long")
+    totals = checkpointed(totals.withColumn("blocks", blocks).withColumn("group", (F.col("shard") / SHARDS).cast("int")))
+    groups: dict = {}
+    for r in totals.groupBy("source", "group").agg(F.sum("blocks").alias("blocks")).orderBy("group").collect():
+        groups.setdefault(r["source"], []).append((r["group"], r["blocks"]))
+    quotas = [(s, g, q) for s, found in groups.items() for (g, _), q in zip(found, capped([b for _, b in found], round(words[s] / size[s])))]
+    seats = spark.createDataFrame(quotas, "source string, group int, seats long")
+
+    def deal(data: pa.Table) -> pa.Table:
+        data = data.sort_by("shard")
+        return data.select(["source", "shard", "words", "blocks"]).append_column("quota", pa.array(capped(data.column("blocks").to_pylist(), data.column("seats")[0].as_py()), pa.int64()))
+
+    dealt = _same(totals, seats, "source", "group").groupBy("source", "group").applyInArrow(deal, "source string, shard int, words long, blocks long, quota long")
+    return _same(placed, dealt, "source", "shard")
+
+
+def _rows(docs: DataFrame, seed: int, *extra: str) -> DataFrame:
+    return docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.coalesce(F.col("text"), F.lit(""))).alias("place"), *extra)
+
+
+def _parted(rows: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with their number of ``copies``, in parts of TOGETHER at most that lie apart."""
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / TOGETHER).cast("long"))).alias("part")
+    many = rows.select("*", part)
+    return many.withColumn("copies", F.least(F.lit(TOGETHER), F.col("n") - F.col("part") * TOGETHER)).withColumn("place", F.when(F.col("part") > 0, F.xxhash64(F.lit(seed), "place", "part")).otherwise(F.col("place"))).drop("n", "part")
 
 
 def _seed(seed: int, source: str | None, shard: int) -> list[int]:
     return [seed, *((source or "").encode() + bytes([source is None]))] + [shard]
 
 
-def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32, rows_per_shard: int = 65536, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32, rows_per_shard: int = 65536, words_per_shard: int = 1 << 26, seed: int = 7) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``docs``."""
-    rows, totals, plan = _plan(docs, [], share, most, block, rows_per_shard, seed)
-    if not plan:
+    rows = checkpointed(_parted(_rows(docs, seed).groupBy("doc_id", "source", "size", "place").agg(F.count("*").alias("n")), seed))
+    planned = _plan(rows, share, most, block, rows_per_shard, words_per_shard)
+    if planned is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, size long, source_size long, target double, taken long")
 
     def take(data: pa.Table) -> pa.Table:
         data = data.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
+        data = data.take(pa.array(np.repeat(np.arange(data.num_rows), data.column("copies").to_numpy())))
         size = data.column("size").to_numpy()
         source, shard, words, blocks, quota, passes = (data.column(c)[0].as_py() for c in ("source", "shard", "words", "blocks", "quota", "passes"))
         end = np.cumsum(size)
@@ -157,21 +187,28 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32,
         part = _below(starts, ends, end) - _below(starts, ends, end - size)
         return data.select(["doc_id", "size", "source_size", "target"]).append_column("taken", pa.array(passes * size + part, pa.int64()))
 
-    return _with_plan(rows, totals, plan).groupBy("source", "shard").applyInArrow(take, "doc_id long, size long, source_size long, target double, taken long")
+    return planned.groupBy("source", "shard").applyInArrow(take, "doc_id long, size long, source_size long, target double, taken long")
 
 
-def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32, rows_per_shard: int = 4096, seed: int = 7) -> DataFrame:
+def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32, rows_per_shard: int = 65536, words_per_shard: int = 1 << 22, seed: int = 7) -> DataFrame:
     """The mix as documents: a row per whole pass over a document, and one with the words of its drawn blocks.
 
     Columns are those of ``docs`` (doc_id, text, lang, source, n_chars); n_chars is that of the row's text.
     """
     names = ["doc_id", "text", "lang", "source", "n_chars"]
-    rows, totals, plan = _plan(docs, ["text", "lang"], share, most, block, rows_per_shard, seed)
-    if not plan:
+    rows = _rows(docs, seed, "lang")
+    keys = ("doc_id", "source", "size", "place", "lang")
+    if rows.groupBy(*keys).count().where(F.col("count") > TOGETHER).isEmpty():
+        parted = _rows(docs, seed, "lang", "text").withColumn("copies", F.lit(1).cast("long"))
+    else:  # texts go with the pre-aggregated rows
+        parted = _parted(_rows(docs, seed, "lang", "text").groupBy(*keys).agg(F.count("*").alias("n"), F.min("text").alias("text")), seed)
+    planned = _plan(parted, share, most, block, rows_per_shard, words_per_shard)
+    if planned is None:
         return docs.select(names)
 
     def take(data: pa.Table) -> pa.Table:
         data = data.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
+        data = data.take(pa.array(np.repeat(np.arange(data.num_rows), data.column("copies").to_numpy())))
         size = data.column("size").to_numpy()
         source, shard, words, blocks, quota, passes = (data.column(c)[0].as_py() for c in ("source", "shard", "words", "blocks", "quota", "passes"))
         starts, ends = drawn(blocks, quota, words, _seed(seed, source, shard))
@@ -193,4 +230,4 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, bloc
         n = len(out["doc_id"])
         return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "text": pa.array(out["text"], pa.string()), "lang": pa.array(out["lang"], pa.string()), "source": pa.array([source] * n, pa.string()), "n_chars": pa.array([len(t) for t in out["text"]], pa.int64())})
 
-    return _with_plan(rows, totals, plan).groupBy("source", "shard").applyInArrow(take, "doc_id long, text string, lang string, source string, n_chars long")
+    return planned.groupBy("source", "shard").applyInArrow(take, "doc_id long, text string, lang string, source string, n_chars long")
