@@ -238,13 +238,28 @@ def repeated(docs: DataFrame) -> DataFrame:
     return checkpointed(met.groupBy("doc_id", "tkey").agg(F.collect_set(F.when(F.col("own"), F.col("h"))).alias("kept"), F.collect_set(F.when(~F.col("own"), F.col("h"))).alias("gone")))
 
 
+def cover(start: list[int], stop: list[int]) -> list[int]:
+    """Numbers of as few of the given stretches as cover what all cover, from the least start on."""
+    order = sorted(range(len(start)), key=lambda k: start[k])
+    chosen, end, at = [], -1, 0
+    while at < len(order):
+        reach, best = max(end, start[order[at]]), order[at]
+        while at < len(order) and start[order[at]] <= reach:
+            best = max(best, order[at], key=lambda k: stop[k])
+            at += 1
+        if stop[best] > end:
+            chosen.append(best)
+            end = stop[best]
+    return chosen
+
+
 @dataclass
 class Found:
     """The runs of a batch of texts that are in the corpus more than once."""
 
     runs: Runs
-    #: Numbers of these runs, and of those among them that aren't at their first place.
-    all: np.ndarray
+    #: Numbers of these runs at their first place, and of a few others that cover all that aren't.
+    first: np.ndarray
     later: np.ndarray
 
 
@@ -252,16 +267,16 @@ def find(bodies: list[bytes], kept: list[list[int] | None], gone: list[list[int]
     r = runs(bodies)
     h = (r.hash & ~np.uint64(1)).view(np.int64)
     ends = np.searchsorted(r.text, np.arange(len(bodies) + 1))
-    every, later = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    firsts, later = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k, (stay, go) in enumerate(zip(kept, gone)):
         if stay or go:
             mine = h[ends[k] : ends[k + 1]]
             here = np.flatnonzero(np.isin(mine, np.array(stay, np.int64)))
             _, first = np.unique(mine[here], return_index=True)
-            away = np.flatnonzero(np.isin(mine, np.array(go, np.int64)))
-            every.append(np.concatenate([here, away]) + ends[k])
-            later.append(np.concatenate([np.delete(here, first), away]) + ends[k])
-    return Found(r, np.concatenate(every), np.concatenate(later))
+            away = np.concatenate([np.delete(here, first), np.flatnonzero(np.isin(mine, np.array(go, np.int64)))]) + ends[k]
+            firsts.append(here[first] + ends[k])
+            later.append(away[cover(r.start[away].tolist(), r.next[away].tolist())])
+    return Found(r, np.concatenate(firsts), np.concatenate(later))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -280,7 +295,8 @@ def dedup(docs: DataFrame) -> DataFrame:
         for batch in batches(source, most=1_000_000):
             bodies = batch.column(0).to_pylist()
             f = find(bodies, batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            found = {(h, bodies[t][a:b]) for h, t, a, b in zip((f.runs.hash[f.all] & ~np.uint64(1)).view(np.int64).tolist(), f.runs.text[f.all].tolist(), f.runs.start[f.all].tolist(), f.runs.stop[f.all].tolist())}
+            at = np.concatenate([f.first, f.later])
+            found = {(h, bodies[t][a:b]) for h, t, a, b in zip((f.runs.hash[at] & ~np.uint64(1)).view(np.int64).tolist(), f.runs.text[at].tolist(), f.runs.start[at].tolist(), f.runs.stop[at].tolist())}
             yield as_batch({"h": pa.array([h for h, _ in found], pa.int64()), "piece": pa.array([p for _, p in found], pa.binary())})
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
