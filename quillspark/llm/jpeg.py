@@ -354,7 +354,8 @@ def store(docs: DataFrame) -> DataFrame:
     """doc_id, the stored image and what is read back from it, for every row of ``docs``.
 
     Columns: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, width, height,
-    feature ("width x height : thumbnail hash" of the first image), media (the file).
+    feature ("width x height : thumbnail hash" of every image of the file, parted by semicolons: texts over the largest
+    image are several; width is that of the widest, height that of all), media (the file).
     """
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,8 +366,8 @@ def store(docs: DataFrame) -> DataFrame:
             for text, data, shown in zip(texts, files, thumbnails(files)):
                 size = len(text) + (-len(text) % UNIT or (0 if text else UNIT))
                 back = b"".join(plane.tobytes() for _, _, plane in shown)[:size]
-                width, height, plane = shown[0]
-                for key, value in zip(rows, (len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(data), hashlib.sha256(data).hexdigest(), width, height, f"{width}x{height}:{thumbnail_hash(plane)}")):
+                feature = ";".join(f"{width}x{height}:{thumbnail_hash(plane)}" for width, height, plane in shown)
+                for key, value in zip(rows, (len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(data), hashlib.sha256(data).hexdigest(), max(w for w, _, _ in shown), sum(h for _, h, _ in shown), feature)):
                     rows[key].append(value)
             yield as_batch({"doc_id": batch.column(0), **{k: pa.array(v, pa.string() if k in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for k, v in rows.items()}, "media": pa.array(files, pa.binary())})
 

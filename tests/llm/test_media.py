@@ -62,3 +62,11 @@ def test_store(odd, none):
 def test_other_formats_are_refused():
     with pytest.raises(ValueError):
         jpeg.thumbnails([b"GIF89a"])
+
+
+def test_features_cover_all_images_of_a_text(spark, monkeypatch):
+    monkeypatch.setattr(jpeg, "FRAME", 24 * 16)
+    one, two = b"a" * 1000, b"a" * 800 + b"z" * 20 + b"!" * 60 + b"a" * 120
+    shown = [jpeg.thumbnails(jpeg.encode([jpeg.payload(t)]))[0] for t in (one, two)]
+    assert len(shown[0]) > 1 and b"".join(p.tobytes() for _, _, p in shown[1])[:1000] == two
+    assert [jpeg.thumbnail_hash(p) for _, _, p in shown[0]] != [jpeg.thumbnail_hash(p) for _, _, p in shown[1]]
