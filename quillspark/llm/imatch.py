@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +27,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_batch, batches, task_partitions, text_bytes, tokens
+from quillspark.llm.common import as_batch, batches, hashed_share, share_of, task_partitions, text_bytes, tokens
 
 BITS = 22
+#: Text bytes a range of documents, and sampled keys a range.
+RANGE_BYTES, PER_RANGE = 128 << 20, 200
 #: The share of the lexicon that each randomised lexicon keeps.
 RATES = (4,) * 4 + (16,) * 4 + (64,) * 8 + (256,) * 8
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -116,44 +119,48 @@ def fit_lexicon(docs: DataFrame, least_share: float = 0.0005, most_share: float
     return Lexicon(band.column("bucket").to_numpy().astype(np.int64))
 
 
-def _ordered(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows by ranges of doc_id, sorted, each range followed by the first rows of the next: (part, halo, doc_id, packed).
+def _ordered(docs: DataFrame, parts: int | None) -> DataFrame:
+    """Rows by ranges of (doc_id, hash of the text), sorted, each range followed by the first rows of the next.
 
-    Range bounds are quantiles of doc_id; only they and each range's least id (a number a range) come to the driver.
+    Columns: part, halo, doc_id, tie, packed. Ranges hold about ``RANGE_BYTES`` bytes, whatever the size of the table,
+    and part the rows of one id (or of none) too. Bounds come from a sample of ``PER_RANGE`` keys a range; only it and
+    each range's least key come to the driver.
     """
-    ids = docs.select("doc_id")
-    cuts = sorted(set(ids.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.001))) if parts > 1 else []
-    splits = np.array([int(c) for c in cuts], np.int64)
+    body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    ids = docs.select("doc_id", F.xxhash64(body).alias("tie"), F.length(body).alias("n"))
+    rows, size = ids.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    parts = parts or max(task_partitions(docs.sparkSession), -(-size // RANGE_BYTES))
+    some = ids.where(hashed_share("range", "doc_id", "tie") < share_of(parts * PER_RANGE, rows)).select("doc_id", "tie")
+    keys = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["tie"]) for r in some.collect())
+    splits = sorted({keys[len(keys) * i // parts] for i in range(1, parts)} if keys else set())
 
-    def part_of(values: pa.Array) -> np.ndarray:
-        return np.where(np.asarray(values.is_null()), 0, np.searchsorted(splits, np.asarray(values.fill_null(0)), side="right"))
+    def keys_of(ids: pa.Array, ties: pa.Array) -> list[tuple]:
+        return [(i is not None, i or 0, t) for i, t in zip(ids.to_pylist(), ties.to_pylist())]
 
     def place(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[int, tuple] = {}
         for batch in source:
-            values = batch.column(0)
-            for p, v in zip(part_of(values).tolist(), values.to_pylist()):
-                key = (v is not None, v or 0)
+            for key in keys_of(batch.column(0), batch.column(1)):
+                p = bisect_right(splits, key)
                 if p not in least or key < least[p]:
                     least[p] = key
         if least:
-            yield as_batch({"part": pa.array(list(least), pa.int32()), "some": pa.array([k[0] for k in least.values()]), "id": pa.array([k[1] for k in least.values()], pa.int64())})
+            yield as_batch({"part": pa.array(list(least), pa.int32()), "some": pa.array([k[0] for k in least.values()]), "id": pa.array([k[1] for k in least.values()], pa.int64()), "tie": pa.array([k[2] for k in least.values()], pa.int64())})
 
-    firsts = {r["part"]: (r["key"]["some"], r["key"]["id"]) for r in ids.mapInArrow(place, "part int, some boolean, id long").groupBy("part").agg(F.min(F.struct("some", "id")).alias("key")).collect()}
+    firsts = {r["part"]: tuple(r["key"]) for r in ids.mapInArrow(place, "part int, some boolean, id long, tie long").groupBy("part").agg(F.min(F.struct("some", "id", "tie")).alias("key")).collect()}
     filled = sorted(firsts)
     before = {firsts[p]: filled[i - 1] for i, p in enumerate(filled)}
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches(source):
-            values = batch.column(0)
-            part = part_of(values)
+            values, keys = batch.column(0), keys_of(batch.column(0), batch.column(1))
+            part = [bisect_right(splits, k) for k in keys]
             packed = [pack(t) for t in batch.column(2).to_pylist()]
-            copies = [(i, before[k]) for i, v in enumerate(values.to_pylist()) if (k := (v is not None, v or 0)) in before]
-            index = pa.array([*range(len(part)), *(i for i, _ in copies)])
-            yield as_batch({"part": pa.array([*part.tolist(), *(p for _, p in copies)], pa.int32()), "halo": pa.array([False] * len(part) + [True] * len(copies)), "doc_id": values.take(index), "tie": batch.column(1).take(index), "packed": pa.array(packed, pa.binary()).take(index)})
+            copies = [(i, before[k]) for i, k in enumerate(keys) if k in before]
+            index = pa.array([*range(len(part)), *(i for i, _ in copies)], pa.int64())
+            yield as_batch({"part": pa.array([*part, *(p for _, p in copies)], pa.int32()), "halo": pa.array([False] * len(part) + [True] * len(copies)), "doc_id": values.take(index), "tie": batch.column(1).take(index), "packed": pa.array(packed, pa.binary()).take(index)})
 
-    body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = docs.select("doc_id", F.xxhash64(body).alias("tie"), body.alias("body")).mapInArrow(run, "part int, halo boolean, doc_id long, tie long, packed binary")
     return rows.repartitionById(len(splits) + 1, F.col("part")).sortWithinPartitions("part", "halo", F.col("doc_id").asc_nulls_first(), "tie")
 
@@ -202,4 +209,4 @@ def compare(docs: DataFrame, lexicon: Lexicon, parts: int | None = None) -> Data
                     ids, texts, size = [], [text], len(text)
                 ids.append(doc)
 
-    return _ordered(docs, parts or task_partitions(docs.sparkSession)).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return _ordered(docs, parts).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
