@@ -7,7 +7,7 @@ counts by (group, shard) - joins and aggregates of a table far smaller than the
 (a third of all rows, say) is never gathered. Documents without links fill the shards up.
 
 The law is ``rows``: shard counts differ by one at most. Ranks are taken within hash buckets of bounded size and
-offset by bucket totals, so no task sorts a shard.
+offset by bucket totals, so no task sorts a shard. Propagation ends when no document moves, or after ``rounds`` rounds.
 
 Defined results: a null text is a text of 0 bytes, linked with other null texts only; null doc_ids and repeated rows
 are rows like others; an empty table gives no rows; with fewer rows than shards some shards are empty.
@@ -79,7 +79,7 @@ def propagate(tally: DataFrame, load: list[int], capacity: int, rounds: int) ->
     return tally
 
 
-def shard(docs: DataFrame, shards: int = 24, rounds: int = 12, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 24, rounds: int = 60, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of ``docs``."""
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = checkpointed(docs.select("doc_id", (F.length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.when(F.col("text").isNull(), F.lit("null")).otherwise(F.md5(body)).alias("grp")))
