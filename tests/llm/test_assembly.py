@@ -165,3 +165,39 @@ def test_pipeline(spark):
             assert docs.columns == names and docs.count()
     assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} == set(docs.columns)
     assert corpus_pipeline.run(spark, sf_dir).count() == docs.count()
+
+
+def test_pipeline_on_odd_rows_and_an_empty_table(spark, odd, none, tmp_path):
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for docs in (odd, none):
+        names = corpus_pipeline.COLUMNS
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            made = stage(spark, docs, str(tmp_path))
+            docs = spark.createDataFrame(made.collect(), made.schema)
+            if k < 4:
+                assert docs.columns == names
+    assert docs.count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[10] * 6, [3, 1, 1, 500], [5, 40, 7000]])
+def test_small_sources_come_near_their_targets(spark, sizes):
+    rows = [(1000 * k + i, " ".join(["w"] * min(7, n - 7 * i)), f"s{k}") for k, n in enumerate(sizes) for i in range(-(-n // 7))]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for k in range(len(sizes)):
+        mine = [r for r in got if r.doc_id // 1000 == k]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(1, 0.02 * mine[0].target)
+
+
+def test_equal_rows_are_parted(spark):
+    docs = spark.createDataFrame([(None, "a b c", "s")] * 5000 + [(k, "d e", "t") for k in range(500)], "doc_id long, text string, source string")
+    rows = mixing.mix(docs, rows_per_shard=1500).collect()
+    assert len(rows) == 5500 and all(0 <= r.taken <= 2 * r["size"] for r in rows)
+    taken = Counter()
+    for r in rows:
+        taken[r.target] += r.taken
+    assert all(abs(n - goal) <= 0.02 * goal + 2 for goal, n in taken.items())
+    assert sorted(r.taken for r in rows) == sorted(r.taken for r in mixing.mix(docs.repartition(5), rows_per_shard=1500).collect())
+    full = docs.selectExpr("doc_id", "text", "'en' AS lang", "source", "5L AS n_chars")
+    words = sum(len(r.text.split()) for r in mixing.mixed_documents(full, rows_per_shard=1500).collect())
+    assert abs(words - sum(taken.values())) <= 0.02 * words

@@ -103,3 +103,56 @@ def test_toxicity_counts_trigrams_of_all_documents_and_keeps_all_words(spark):
     assert "жук" in model.characters.costs and "aße" in model.characters.costs
     assert set(bad[1::2]) <= model.known  # texts of odd ids have these; more than 160 features with their beginnings
     assert len(model.weights) > 160
+
+
+def test_quality_scores_against_plain_compression(spark, tables):
+    import math
+
+    import zstandard
+
+    docs, labels = tables
+    model = quality.fit_tables(docs, labels)
+    some = docs.where("doc_id < 300")
+    given = {r.doc_id: (r.text or "").encode() for r in some.collect()}
+
+    def size(raw, text):
+        with_ = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw), write_content_size=False, write_checksum=False, write_dict_id=False, level=3)
+        return sum(len(with_.compress(text[at : at + 1024])) for at in range(0, len(text), 1024))
+
+    for r in quality.score(some, model).collect():
+        text = given[r.doc_id]
+        difference = (size(model.bad, text) - size(model.good, text)) / len(text) if text else 0
+        assert r.score == pytest.approx(1 / (1 + math.exp(-model.slope * difference - model.intercept)), rel=1e-9)
+
+
+def test_language_scores_against_plain_naive_bayes():
+    import math
+
+    rows = [("the cat and the dog", "en"), ("el gato y el perro", "es"), ("le chat et le chien \0 x", "fr"), ("thé", "fr")]
+    model = langid.fit(rows)
+    mask = (1 << 32) - 1
+
+    def grams(text):
+        low = [ord(c) for c in text.lower()]
+        for i in range(len(low)):
+            value = 0
+            for order, by in enumerate((0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)):
+                value = (value * 31 + (low[i + order] if i + order < len(low) else 0) * by) & mask
+                yield order, ((value * 0x9E3779B1) & mask) >> 18
+
+    counts = {}
+    for text, lang in rows:
+        for g in grams(text):
+            counts[lang, g] = counts.get((lang, g), 0) + 1
+    sums = {(lang, o): sum(n for (la, g), n in counts.items() if la == lang and g[0] == o) + 0.5 * langid.BUCKETS for lang in ("en", "es", "fr") for o in range(3)}
+    texts = ["the gato", "xyz", "le", "the gato et " * 40, "a\0b", "12", "", None]
+    langs, score = model.predict(texts)
+    for k, text in enumerate(texts):
+        if not text or text == "12":
+            assert (langs[k], score[k]) == ("und", 0)
+            continue
+        n = len(text)
+        logs = {lang: sum(math.log((counts.get((lang, g), 0) + 0.5) / sums[lang, g[0]]) for g in grams(text)) / n * (n * 50 / (n + 50)) + math.log(((lang == "fr") + 2) / 7) for lang in ("en", "es", "fr")}
+        best = max(logs, key=logs.get)
+        assert langs[k] == best and score[k] == pytest.approx(1 / sum(math.exp(v - logs[best]) for v in logs.values()), rel=1e-4)
+        assert model.predict([text])[1][0] == score[k]  # whatever stands beside it
