@@ -7,13 +7,12 @@ modules state; extra columns are dropped by the first stage.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm import linechunks, mixing, packing, simhash, toxicity
-from quillspark.llm.common import table
+from quillspark.llm.common import shared_folder, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -52,7 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each written as Parquet to the shared folder and read again."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quillspark-pipeline-")
+    shared = shared_folder(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
