@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,7 +39,9 @@ SWAP, DROP_MARK, DROP_LEET, DROP_DIGIT, DROP_DOUBLE, DROP_REPEAT, KEEP_DIGIT = 1
 PREFIXES = (4, 5, 6)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _PLAIN = re.compile(r"[^\W\d_]+")
-_TRIPLE = re.compile(r"(.)\1\1")
+_TRIPLE, _RUN = re.compile(r"(.)\1\1"), re.compile(r"(.)\1+")
+#: Outer marks that most tokens with any have.
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 #: Cost of reading over a blank, and the share of all trigrams under which one is left to the back-off.
 DROP_BLANK, LEAST_SHARE = 1.0, 1e-6
 #: Up to how many characters of a piece of a split word that isn't plain all readings are tried.
@@ -136,6 +138,19 @@ def spelling(word: str, model: CharacterModel) -> float:
     return sum(model.cost(padded[i : i + 2], padded[i + 2]) for i in range(len(padded) - 2))
 
 
+def bare(token: str) -> str:
+    """A token without its outer marks."""
+    if token.isalpha():
+        return token
+    core = token.strip(_MARKS)
+    return core if not core or (core[0].isalnum() and core[-1].isalnum()) else _EDGE.sub("", core)
+
+
+def squeezed(word: str) -> str:
+    """A word with runs of one letter as a single one."""
+    return _RUN.sub(r"\1", word)
+
+
 def suspicious(core: str) -> bool:
     """Whether a token without its outer marks hides letters: marks or digits among them, or a letter three times."""
     if _PLAIN.fullmatch(core):
@@ -149,8 +164,8 @@ def restore(token: str, model: CharacterModel, known: set[str] | frozenset = fro
     Marks at the ends may be letters in disguise (``$tupid``): such a token is decoded as a whole, and that reading
     wins if it is a ``known`` word and the bare core isn't.
     """
-    core = _EDGE.sub("", token)
-    if len(core) < len(token) and core not in known and any(c in LEET for c in token):
+    core = bare(token)
+    if known and len(core) < len(token) and core not in known and any(c in LEET for c in token):
         whole = viterbi(token, model)
         if whole in known:
             return whole
@@ -159,7 +174,7 @@ def restore(token: str, model: CharacterModel, known: set[str] | frozenset = fro
 
 def pieces(token: str, model: CharacterModel) -> tuple[str, ...]:
     """The letters a lower-cased token may add to a split word: none for marks alone (``""``), itself if it is plain."""
-    core = _EDGE.sub("", token)
+    core = bare(token)
     if _PLAIN.fullmatch(core):
         return (core,)
     if len(token) <= PIECE and any(c in LEET or c.isalnum() for c in token):
@@ -191,21 +206,46 @@ class ToxicityModel:
         self.heads = frozenset(w[:i] for w in self.known for i in range(1, len(w)))
         self.longest = max(map(len, self.known), default=0)
 
-    def _hits(self, word: str) -> tuple[int, ...]:
-        return tuple(self.place[f] for f in features(word) if f in self.place)
+        #: First letters of what is scored, stretches of the known words, and these without doubled letters.
+        self.stems = frozenset(w.lstrip("^")[:4] for w in self.weights)
+        self.inner = frozenset(w[i:j] for w in self.known for i in range(len(w)) for j in range(i + 1, len(w) + 1))
+        self.bent = frozenset(map(squeezed, self.inner))
 
-    def _look(self, token: str) -> tuple[tuple[int, ...], tuple[str, ...], bool]:
-        """A token's features, its readings as a piece of a split word, and whether it may begin one."""
+    def _hits(self, word: str) -> tuple[int, ...]:
+        return tuple(self.place[f] for f in features(word) if f in self.place) if word[:4] in self.stems else ()
+
+    def _look(self, token: str) -> tuple[tuple[int, ...], tuple[str, ...], bool] | None:
+        """A token's features, its readings as a piece of a split word, and whether it may begin one; None without any.
+
+        Most tokens are plain words that have nothing to do with a known one, and a few set look-ups tell so.
+        """
+        core = bare(token)
+        if core.isalpha() and not _TRIPLE.search(core):
+            inner = core in self.inner
+            if inner or core[:4] in self.stems or (len(core) < len(token) and squeezed(core) in self.bent):
+                word = restore(token, self.characters, self.known)
+                return self._hits(word), (core,) if inner else (), core in self.heads
+            return None
         found = self.memo.get(token)
         if found is None:
             parts = pieces(token, self.characters) if len(token) <= 2 * self.longest else ()
             found = self.memo[token] = (self._hits(restore(token, self.characters, self.known)), parts, any(p in self.heads for p in parts))
         return found
 
-    def _joined(self, parts: list[tuple[str, ...]]) -> str | None:
+    @staticmethod
+    def _pieces_from(at: int, looked: dict, rows: np.ndarray, codes: np.ndarray, follows: np.ndarray) -> Iterator[tuple[str, ...]]:
+        """The readings of the token at a place and of those after it in its text, as long as they may go on a word."""
+        row = rows[at]
+        while True:
+            yield looked[codes[at]][1]
+            at += 1
+            if at == len(rows) or rows[at] != row or not follows[at]:
+                return
+
+    def _joined(self, parts: Iterator[tuple[str, ...]]) -> str | None:
         """The known word that the pieces from the first on spell, if it is likelier than the pieces."""
-        heads, now = self.heads, {p: (p,) for p in parts[0] if p in self.heads}
-        for options in parts[1:]:
+        heads, now = self.heads, {p: (p,) for p in next(parts) if p in self.heads}
+        for options in parts:
             if options == ("",):
                 continue
             new = {}
@@ -227,22 +267,20 @@ class ToxicityModel:
         values = list(self.weights.values())
         if len(self.memo) > 100_000:
             self.memo.clear()
-        looked = [self._look(w) for w in words] if self.known else []
+        looked = {i: found for i, w in enumerate(words) if (found := self._look(w))} if self.known else {}
         pairs: set[tuple[int, int]] = set()
         if looked:
-            seen = np.array([bool(hit) for hit, _, _ in looked])[codes]
+            marks = np.zeros((3, len(words)), bool)
+            for i, (hits, parts, head) in looked.items():
+                marks[:, i] = bool(hits), head, bool(parts)
+            seen, begins, follows = marks[:, codes]
             for row, code in zip(rows[seen].tolist(), codes[seen].tolist()):
                 pairs.update((row, f) for f in looked[code][0])
-            # split words: from every token that may begin one
-            begins = np.array([head for _, _, head in looked])[codes]
-            follows = np.array([bool(parts) for _, parts, _ in looked])[codes]
-            at = np.flatnonzero(begins[:-1] & follows[1:] & (rows[:-1] == rows[1:]))
-            many = 2 * self.longest
-            for i in at.tolist():
-                end = int(np.searchsorted(rows, rows[i], side="right")) if rows[min(i + many, len(rows) - 1)] != rows[i] else min(i + many, len(rows))
+            # split words: from every token that may begin one, over tokens that may go on
+            for i in np.flatnonzero(begins[:-1] & follows[1:] & (rows[:-1] == rows[1:])).tolist():
                 first, second = looked[codes[i]][1], looked[codes[i + 1]][1]
                 if second == ("",) or any(p + q in self.heads or p + q in self.known for p in first for q in second):
-                    word = self._joined([looked[c][1] for c in codes[i:end].tolist()])
+                    word = self._joined(self._pieces_from(i, looked, rows, codes, follows))
                     if word:
                         pairs.update((int(rows[i]), f) for f in self._hits(word))
         total = np.full(len(body), self.intercept)
@@ -253,11 +291,12 @@ class ToxicityModel:
         return sigmoid(total)
 
 
-def _features(text: str, model: CharacterModel, memo: dict[str, list[str]]) -> set[str]:
+def _features(text: bytes, model: CharacterModel, memo: dict[str, tuple[str, ...]], wanted: Collection[str] | None) -> set[str]:
+    """A text's features, or those that are ``wanted``."""
     found: set[str] = set()
-    for t in set(text.lower().split()):
+    for t in set(text.decode("utf-8", "replace").lower().split()):
         if t not in memo:
-            memo[t] = [f for f in features(restore(t, model)) if f]
+            memo[t] = tuple(f for f in features(restore(t, model)) if f and (wanted is None or f in wanted))
         found.update(memo[t])
     return found
 
@@ -268,19 +307,19 @@ def fit(sample: list[tuple[bytes, int]], prior: float | None = None, least: int
     ``characters`` is the character model of the whole corpus; without it, one of the sample's words is fitted.
     Words must be at least ``least`` times in texts of label 1 and pass a test of four standard errors.
     """
-    texts = [(t.decode("utf-8", "replace"), y) for t, y in sample]
+    texts = [(t, y) for t, y in sample]
     if characters is None:
-        characters = fit_characters(Counter(w for t, _ in texts for w in t.lower().split() if plain(w)) or {"a": 1})
+        characters = fit_characters(Counter(w for t, _ in texts for w in t.decode("utf-8", "replace").lower().split() if plain(w)) or {"a": 1})
     ones = sum(y for _, y in texts)
     zeros = len(texts) - ones
     if not ones or not zeros:
         share = min(max(ones / len(texts) if texts else 1e-3, 1e-3), 1 - 1e-3)
         return ToxicityModel(characters, {}, math.log(share / (1 - share)))
     # texts of label 1 name the candidates; only these are counted, and kept by text, in the others
-    memo: dict[str, list[str]] = {}
-    in_one = Counter(w for t, y in texts if y for w in _features(t, characters, memo))
+    in_one = Counter(f for t, y in texts if y for f in _features(t, characters, {}, None))
     in_one = Counter({w: n for w, n in in_one.items() if n >= least})
-    sets = [(_features(t, characters, memo) & in_one.keys(), y) for t, y in texts]
+    memo: dict[str, tuple[str, ...]] = {}  # of words to candidates only, so it stays small
+    sets = [(_features(t, characters, memo, in_one.keys()), y) for t, y in texts]
     in_zero = Counter(w for s, y in sets if not y for w in s)
     strong = []
     for w, n in in_one.items():
@@ -303,24 +342,37 @@ def fit(sample: list[tuple[bytes, int]], prior: float | None = None, least: int
     return ToxicityModel(characters, dict(zip(chosen, w.tolist())), intercept, float(w[-2]))
 
 
+def coded_trigrams(words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams of words as numbers (three code points of 21 bits), and how often each is there."""
+    padded = [f"  {w} " for w in words]
+    points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    sizes = np.array([len(p) for p in padded], np.int64)
+    within = np.ones(len(points), bool)
+    ends = np.cumsum(sizes)
+    within[ends - 1] = within[ends - 2] = False
+    at = np.flatnonzero(within)
+    codes = points[at] << 42 | points[at + 1] << 21 | points[at + 2]
+    found, place = np.unique(codes, return_inverse=True)
+    return found, np.bincount(place, weights=np.repeat(counts, sizes - 2)).astype(np.int64)
+
+
 def count_trigrams(docs: DataFrame) -> dict[str, int]:
-    """How often each trigram is in the plain words of all documents; counted by task, then summed."""
+    """How often each trigram is in the plain words of all documents; counted by batch, then summed."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tri: Counter = Counter()
-        for batch in batches(source):
+        for batch in batches(source, most=4_000_000):
             _, codes, words, _ = tokens(batch.column(0))
-            counts = np.bincount(codes, minlength=len(words)).tolist()
-            tri.update(trigrams({w: n for w, n in zip(words, counts) if n and plain(w)}))
-            if len(tri) > 500_000:
-                yield as_batch({"tri": pa.array(list(tri), pa.string()), "n": pa.array(list(tri.values()), pa.int64())})
-                tri.clear()
-        yield as_batch({"tri": pa.array(list(tri), pa.string()), "n": pa.array(list(tri.values()), pa.int64())})
-
-    counted = checkpointed(text_bytes(docs).mapInArrow(run, "tri string, n long").groupBy("tri").agg(F.sum("n").alias("n")))
+            counts = np.bincount(codes, minlength=len(words))
+            kept = [i for i, w in enumerate(words) if w.isalpha() and plain(w)]
+            if kept:
+                found, n = coded_trigrams([words[i] for i in kept], counts[kept])
+                yield as_batch({"tri": found, "n": n})
+
+    counted = checkpointed(text_bytes(docs).mapInArrow(run, "tri long, n long").groupBy("tri").agg(F.sum("n").alias("n")))
     total = counted.agg(F.sum("n")).first()[0] or 0
     found = counted.where(F.col("n") >= total * LEAST_SHARE).toArrow()
-    return dict(zip(found.column("tri").to_pylist(), found.column("n").to_pylist()))
+    text = lambda c: chr(c >> 42) + chr(c >> 21 & 0x1FFFFF) + chr(c & 0x1FFFFF)
+    return {text(c): n for c, n in zip(found.column("tri").to_pylist(), found.column("n").to_pylist())}
 
 
 def fit_tables(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 5, held_out: int = 0, per_class: int = 2000, max_bytes: int = 16384) -> ToxicityModel:
