@@ -193,51 +193,55 @@ def _sketch(texts: DataFrame, width: int) -> np.ndarray:
     return counts
 
 
-def prefix_lengths(n: int, similarity: float) -> tuple[int, int]:
-    """How many of the rarest of ``n`` shingles to compare, where the other text is as long or longer, and at all.
+def prefix_length(n: int, similarity: float) -> int:
+    """How many of the rarest of a text's ``n`` shingles to compare.
 
-    Two sets of a Jaccard similarity of t share t / (1 + t) of their sizes' sum: at least 2t / (1 + t) of the smaller
-    one's and t of the larger one's shingles. Both then have a shingle in common among the first of any fixed order.
+    Two sets of a Jaccard similarity of t share at least t of the larger one's shingles, so both have one in common among
+    the first of any fixed order.
     """
-    return n - math.ceil(2 * similarity / (1 + similarity) * n - 1e-9) + 1, n - math.ceil(similarity * n - 1e-9) + 1
+    return n - math.ceil(similarity * n - 1e-9) + 1
 
 
-def marks(texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(node, fp, size, keys, short) of every distinct text (node, body): the shingles it is looked up by, rarest first.
+def enough(keys: str, na: str, nb: str, similarity: float) -> Column:
+    """Whether two texts with so many shared ``keys`` and such sizes can be near.
 
-    The first ``short`` keys are those to compare where the other text is as long or longer.
+    Sets of a similarity of t share t / (1 + t) of their sizes' sum. Of the two prefixes, take the one that ends first in
+    the fixed order: what it shares lies in the other's prefix too, and beyond it the text has ceil(tn) - 1 shingles.
     """
+    share = F.ceil(similarity / (1 + similarity) * (F.col(na) + F.col(nb)) - 1e-9)
+    beyond = F.ceil(similarity * F.greatest(na, nb) - 1e-9) - 1
+    return (F.least(na, nb) >= similarity * F.greatest(na, nb) - 1e-6) & (F.col(keys) >= share - beyond)
+
+
+def marks(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(node, fp, size, keys) of every distinct text (node, body): the shingles it is looked up by, the rarest."""
     shared = texts.sparkSession.sparkContext.broadcast(_sketch(texts, width))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches(source, most=1_000_000):
             found = shingle_sets(batch.column(1).to_pylist(), width)
-            fp, keys, short = [], [], []
+            fp, keys = [], []
             for h in found:
-                first, most = prefix_lengths(len(h), similarity) if len(h) else (0, 0)
+                most = prefix_length(len(h), similarity) if len(h) else 0
                 keys.append(h[np.argsort(counts[(h % np.uint64(SKETCH)).astype(np.int64)], kind="stable")[:most]].view(np.int64))
-                short.append(first)
                 fp.append(_signed(fingerprint(h)))
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys), pa.int64()))
-            yield as_batch({"node": batch.column(0), "fp": pa.array(fp, pa.int64()), "size": pa.array([len(h) for h in found], pa.int32()), "short": pa.array(short, pa.int32()), "keys": lists})
+            yield as_batch({"node": batch.column(0), "fp": pa.array(fp, pa.int64()), "size": pa.array([len(h) for h in found], pa.int32()), "keys": lists})
 
-    return texts.select("node", "body").mapInArrow(run, "node long, fp long, size int, short int, keys array<long>").dropDuplicates(["node"])
+    return texts.select("node", "body").mapInArrow(run, "node long, fp long, size int, keys array<long>").dropDuplicates(["node"])
 
 
 def shared_keys(marked: DataFrame) -> DataFrame:
-    """(key, n, node, size, short): the keys that several of the texts in ``marked`` have, ``short`` at least one of them.
+    """(key, n, node, size, fp): the keys that several of the texts in ``marked`` have.
 
     Keys are counted first, by themselves; only rows of shared keys go on to the texts' sizes.
     """
-    numbered = marked.select(F.monotonically_increasing_id().alias("row"), "node", "size", "fp", "short", "keys")
-    numbered = checkpointed(numbered)
-    each = numbered.select("row", "short", F.posexplode("keys").alias("at", "key"))
-    counts = each.select("key", F.when(F.col("at") < F.col("short"), 1).alias("s")).groupBy("key").agg(F.count("*").alias("n"), F.count("s").alias("s")).where("n > 1 and s > 0").select("key", "n")
-    met = each.select("key", (F.col("row") * 2 + (F.col("at") < F.col("short")).cast("long")).alias("which")).join(counts, "key")
-    split = met.select("key", "n", F.shiftright("which", 1).alias("row"), (F.col("which") % 2 == 1).alias("short"))
-    return checkpointed(split.join(numbered.select("row", "node", "size", "fp"), "row").drop("row"))
+    numbered = checkpointed(marked.withColumn("row", F.monotonically_increasing_id()))
+    each = numbered.select("row", F.explode("keys").alias("key"))
+    counts = each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return checkpointed(each.join(counts, "key").join(numbered.select("row", "node", "size", "fp"), "row").drop("row"))
 
 
 def passes(fa: str, fb: str, na: str, nb: str, most: int) -> Column:
@@ -247,15 +251,14 @@ def passes(fa: str, fb: str, na: str, nb: str, most: int) -> Column:
 
 
 def star_pairs(shared: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): every text with each shared key's least text, if their sizes and fingerprints let them be near."""
+    """(a, b): every text with the least text of its shared keys, if these keys, sizes and fingerprints let them be near."""
     hubs = shared.groupBy("key").agg(F.min(F.struct("node", "size", "fp")).alias("hub")).select("key", F.col("hub.node").alias("a"), F.col("hub.size").alias("na"), F.col("hub.fp").alias("fa"))
-    met = shared.join(hubs, "key").where(F.col("node") != F.col("a"))
-    close = F.least("na", "size") >= similarity * F.greatest("na", "size") - 1e-6
-    return met.where(close & passes("fa", "fp", "na", "size", MOST)).select("a", F.col("node").alias("b")).distinct()
+    met = shared.join(hubs, "key").where(F.col("node") != F.col("a")).groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("k"), *[F.first(c).alias(c) for c in ("na", "fa", "size", "fp")])
+    return met.where(enough("k", "na", "size", similarity) & passes("fa", "fp", "na", "size", MOST)).select("a", "b")
 
 
 def prefix_pairs(shared: DataFrame, roots: DataFrame, similarity: float, block: int = 2000) -> DataFrame:
-    """(a, b): all pairs with a shared key that can be near and aren't linked in ``roots`` (node, root) yet.
+    """(a, b): all pairs with shared keys that can be near and aren't linked in ``roots`` (node, root) yet.
 
     Keys of more than ``block`` texts are joined block by block; keys whose texts are all linked are left out.
     """
@@ -263,10 +266,11 @@ def prefix_pairs(shared: DataFrame, roots: DataFrame, similarity: float, block:
     mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     met = rows.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    left = met.where("short").select("key", F.col("own").alias("i"), every.alias("j"), F.col("node").alias("x"), F.col("size").alias("nx"), F.col("fp").alias("fx"), F.col("root").alias("rx"))
+    left = met.select("key", F.col("own").alias("i"), every.alias("j"), F.col("node").alias("x"), F.col("size").alias("nx"), F.col("fp").alias("fx"), F.col("root").alias("rx"))
     right = met.select("key", F.col("own").alias("j"), every.alias("i"), F.col("node").alias("y"), F.col("size").alias("ny"), F.col("fp").alias("fy"), F.col("root").alias("ry"))
-    close = (F.col("rx") != F.col("ry")) & (F.col("nx") <= F.col("ny")) & (F.col("nx") >= similarity * F.col("ny") - 1e-6)
-    return checkpointed(left.join(right, ["key", "i", "j"]).where(close & passes("fx", "fy", "nx", "ny", MOST)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    close = (F.col("rx") != F.col("ry")) & (F.col("x") < F.col("y")) & (F.least("nx", "ny") >= similarity * F.greatest("nx", "ny") - 1e-6)
+    joined = left.join(right, ["key", "i", "j"]).where(close & passes("fx", "fy", "nx", "ny", MOST)).groupBy("x", "y").agg(F.count("*").alias("k"), F.first("nx").alias("nx"), F.first("ny").alias("ny"))
+    return checkpointed(joined.where(enough("k", "nx", "ny", similarity)).select(F.col("x").alias("a"), F.col("y").alias("b")))
 
 
 def _bodies(texts: DataFrame, pairs: DataFrame, most: int = 500_000) -> DataFrame:
