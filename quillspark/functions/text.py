@@ -12,8 +12,14 @@ BLANK = r"(?U)[\s\x1c-\x1f]"
 GREEK = {"α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "ch", "ψ": "ps", "ω": "o"}
 GREEK |= {k.upper(): v.capitalize() for k, v in GREEK.items() if k != "ς"}
 #: Words that don't count towards an acronym's initials.
-SMALL_WORDS = ("of", "the", "and", "in", "for", "to", "on", "with", "by", "a", "an", "at")
-MARKS = {"en": (" the ", " and ", " of ", " in "), "es": (" el ", " los ", " para ", " que "), "fr": (" le ", " les ", " des ", " une "), "de": (" der ", " die ", " und ", " ist ")}
+SMALL_WORDS = tuple("a an and by for in of on or the to with".split())
+#: Words whose presence, with a blank after them, marks a language; French has two that end in an apostrophe.
+MARKS = {
+    "en": tuple(f"{w} " for w in "are been could from has have is should that the this was were will with would".split()),
+    "es": tuple(f"{w} " for w in "de del el en es la las los para por que un una".split()),
+    "fr": (*(f"{w} " for w in "dans de des du est la le les pour sont un une".split()), "d'", "l'"),
+    "de": tuple(f"{w} " for w in "auf das der die für ist mit sind und werden wird".split()),
+}
 
 
 def strip(c: Column) -> Column:
@@ -77,7 +83,7 @@ def is_acronym(c: Column) -> Column:
 
 
 def initials_match(short: Column, full: Column) -> Column:
-    """Whether an acronym's letters are the beginning or a part of the long form's initials."""
+    """Whether an acronym's letters are the beginning or a part of the long form's initials (no letters are, too)."""
     letters = F.regexp_replace(F.upper(short), "[^A-Z]", "")
     words = F.filter(F.regexp_extract_all(full, F.lit("[A-Za-z]+"), F.lit(0)), lambda w: ~F.lower(w).isin(*SMALL_WORDS))
     first = F.array_join(F.transform(words, lambda w: F.upper(F.substring(w, 1, 1))), "")
@@ -87,7 +93,7 @@ def initials_match(short: Column, full: Column) -> Column:
 def truth(c: Column) -> Column:
     """Loose boolean text: positive numbers and true, y, yes."""
     low = F.lower(F.trim(c.cast("string")))
-    return F.coalesce(F.when(F.expr("false"), False).otherwise(F.coalesce(low.try_cast("double") > 0, low.isin("true", "y", "yes"))), F.lit(False))
+    return F.coalesce(low.try_cast("double") > 0, low.isin("true", "y", "yes"), F.lit(False))
 
 
 def qid(c: Column) -> Column:
@@ -95,13 +101,15 @@ def qid(c: Column) -> Column:
 
 
 def language(c: Column) -> Column:
-    """Language by marker words: at least three of one's must occur; the first of en, es, fr, de wins a tie."""
-    low = F.lower(c)
-    score = {k: sum((low.contains(m).cast("int") for m in marks), F.lit(0)) for k, marks in MARKS.items()}
-    best = F.greatest(*score.values())
-    picked = reduce(lambda w, k: w.when(score[k] == best, k), list(MARKS)[1:], F.when(score["en"] == best, "en"))
-    arabic, chinese = c.rlike("[؀-ۿ]"), c.rlike("[一-鿿]")
-    return F.when(c.isNull() | (F.length(c) < 20), "unknown").when(arabic, "ar").when(chinese, "zh").when(best >= 3, picked).otherwise("unknown")
+    """Language by marker words: at least three of one's must occur; the first of en, es, fr, de wins a tie.
+
+    Null and texts of under 20 characters are unknown; Arabic and Chinese go by their script. The text is lower-cased
+    once, and the scores are made once, inside a higher-order function.
+    """
+    scores = lambda low: F.array(*[F.struct(sum((low.contains(m).cast("int") for m in marks), F.lit(0)).alias("n"), F.lit(-i).alias("first"), F.lit(k).alias("lang")) for i, (k, marks) in enumerate(MARKS.items())])
+    best = F.element_at(F.transform(F.array(F.lower(c)), lambda low: F.array_max(scores(low))), 1)
+    marked = F.element_at(F.transform(F.array(best), lambda x: F.when(x["n"] >= 3, x["lang"]).otherwise("unknown")), 1)
+    return F.when(c.isNull() | (F.length(c) < 20), "unknown").when(c.rlike("[؀-ۿ]"), "ar").when(c.rlike("[一-鿿]"), "zh").otherwise(marked)
 
 
 def affiliation(c: Column) -> Column:

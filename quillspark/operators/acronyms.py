@@ -22,7 +22,7 @@ def valid(short: str) -> bool:
 def agrees(short: str, full: str) -> bool:
     letters = re.sub("[^A-Z]", "", short.upper())
     initials = "".join(w[0].upper() for w in re.findall("[A-Za-z]+", full) if w.lower() not in SMALL_WORDS)
-    return bool(initials) and letters in initials
+    return bool(initials) and letters in initials  # no letters are a part of any initials
 
 
 def _long_form(short: str, before: str) -> str | None:
@@ -67,7 +67,8 @@ def expand(text: str, pairs: list[tuple[str, str]]) -> str:
 
 def expand_sections(sections: DataFrame, documents: DataFrame) -> DataFrame:
     """``sections`` (file_path, section_content, ...) with acronym_map and section_content_expanded, by the full text of
-    their document (file_path, fulltext); the full text itself isn't carried on."""
+    their document (file_path, fulltext, and ord where a file may have several: the first is taken, the least where
+    there is no ord); the full text itself isn't carried on. Sections without a document keep their text."""
     pairs = "array<struct<short:string,full:string>>"
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,5 +79,6 @@ def expand_sections(sections: DataFrame, documents: DataFrame) -> DataFrame:
     def replaced(text: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else expand(t, [(p["short"], p["full"]) for p in (m if m is not None else [])]) for t, m in zip(text, found)])
 
-    maps = documents.select("file_path", "fulltext").dropDuplicates(["file_path"]).mapInPandas(find, f"file_path string, acronym_map {pairs}")
+    first = F.min_by("fulltext", "ord" if "ord" in documents.columns else "fulltext").alias("fulltext")
+    maps = documents.groupBy("file_path").agg(first).mapInPandas(find, f"file_path string, acronym_map {pairs}")
     return sections.join(maps, "file_path", "left").withColumn("section_content_expanded", replaced("section_content", "acronym_map"))

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import strip
 
 #: Result classes of a geocoder that name no place one can study.
-NO_PLACE = ("highway", "railway", "amenity", "shop", "office", "building", "leisure", "tourism", "craft", "emergency", "man_made", "club")
+NO_PLACE = tuple("aeroway amenity building craft highway leisure man_made office place_of_worship railway shop waterway".split())
+#: Country codes that are places although they have two letters.
+COUNTRY_CODES = tuple("AU BR CA CH CN DE ES FI FR GB IN IT JP MX NO PL PT RU SE UK US".split())
 ROLES = ("Object of study", "Location of research")
 
 

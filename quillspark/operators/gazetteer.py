@@ -1,20 +1,26 @@
 """Dictionary matching: leftmost-longest, word-bounded, case-insensitive, with acronym case rules.
 
 Word characters are [A-Za-z0-9_]. The dictionary is broadcast, so its size is checked first: above ``most_terms`` the
-matcher takes the dictionary in slices of that size and an aggregate keeps leftmost-longest matches of their union.
+matcher takes the dictionary in slices of that size. Every slice then gives its longest match at every place, and a fold
+over these by section keeps what one dictionary of all terms would have found.
+
+Defined results: null and empty texts and terms match nothing; repeated sections match each; of equal terms the last in
+load order wins; a match that the acronym rule rejects still uses up its text; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_TOKEN = re.compile(r"[A-Za-z0-9_]+|[^A-Za-z0-9_]")
+_TOKEN, _WORD = re.compile(r"[A-Za-z0-9_]+|[^A-Za-z0-9_]"), re.compile(r"[A-Za-z0-9_]+")
+_TYPES = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.string(), pa.string(), pa.string(), pa.bool_())
 MATCH = "section_id string, start int, end int, text string, entity string, score double, model string, linked_id string, linked_name string"
 
 
@@ -45,63 +51,84 @@ class Matcher:
         for term, *meta in terms:
             node = self.root
             for token in _TOKEN.findall(term):
-                node = node.setdefault(token.lower() if token.isascii() else token.lower(), {})
+                node = node.setdefault(token.lower(), {})
             if node is not self.root:
                 node[None] = (term, *meta)
             if acronym_positions(term):
                 self.patterns[term.lower()] = term
-
-    def find(self, text: str) -> list[tuple[int, int, tuple]]:
-        """(start, end, metadata) of the matches, left to right."""
-        tokens = [(m.group(), m.start(), m.end()) for m in _TOKEN.finditer(text)]
-        out, i = [], 0
-        while i < len(tokens):
-            node, j, best = self.root, i, None
-            while j < len(tokens) and (node := node.get(tokens[j][0].lower())) is not None:
-                j += 1
-                if None in node:
-                    best = (j, node[None])
-            if best and (pattern := self.patterns.get(best[1][0].lower())) and not accepts(text[tokens[i][1] : tokens[best[0] - 1][2]], pattern):
-                i = best[0]
-            elif best:
-                out.append((tokens[i][1], tokens[best[0] - 1][2], best[1]))
-                i = best[0]
-            else:
-                i += 1
+        #: Whether every term begins with a word, so that only words need be looked at.
+        self.wordy = all(_WORD.match(token) for token in self.root)
+
+    def longest(self, text: str, start: int) -> tuple[int, tuple] | None:
+        """End and metadata of the longest term at ``start``."""
+        node, best = self.root, None
+        for m in _TOKEN.finditer(text, start):
+            node = node.get(m.group().lower())
+            if node is None:
+                break
+            if None in node:
+                best = (m.end(), node[None])
+        return best
+
+    def find(self, text: str, every: bool = False) -> list[tuple[int, int, tuple, bool]]:
+        """(start, end, metadata, accepted) of the matches left to right, or of the longest at ``every`` place."""
+        out, at, root = [], 0, self.root
+        for m in (_WORD if self.wordy else _TOKEN).finditer(text):
+            if m.group().lower() in root and m.start() >= at and (best := self.longest(text, m.start())):
+                end, meta = best
+                pattern = self.patterns.get(meta[0].lower())
+                out.append((m.start(), end, meta, pattern is None or accepts(text[m.start() : end], pattern)))
+                at = at if every else end
         return out
 
 
-def _match(sections: DataFrame, rows: list, min_length: int, blocked: set[str], model: str, default_type: str) -> DataFrame:
+def spread(frame: DataFrame) -> DataFrame:
+    """``frame`` in as many partitions as tasks can run, where it has fewer: for work in Python that would run in a few."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
+def _match(sections: DataFrame, rows: list, model: str, default_type: str, every: bool) -> DataFrame:
     shared = sections.sparkSession.sparkContext.broadcast([(r["term"], r["id"], r["concept"], r["type"]) for r in rows])
+    names = [c.split()[0] for c in MATCH.split(", ")]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(shared.value)
-        for frame in frames:
+        for batch in source:
             out = []
-            for section, text in zip(frame["section_id"], frame["text"]):
-                for start, end, (_, ident, concept, kind) in matcher.find(text) if text else ():
-                    found = text[start:end]
-                    if len(found) >= min_length and found.lower() not in blocked:
-                        out.append((section, start, end, found, kind or default_type, 1.0, model, ident, concept))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in MATCH.split(", ")])
+            for section, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for start, end, (_, ident, concept, kind), good in matcher.find(text, every) if text else ():
+                    if good or every:
+                        out.append((section, start, end, text[start:end], kind or default_type, 1.0, model, ident, concept, good))
+            columns = zip(*out) if out else [()] * 10
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES)], names=[*names, "good"])
+
+    return spread(sections.select(F.col("section_id").cast("string").alias("section_id"), "text")).mapInArrow(run, MATCH + ", good boolean")
 
-    return sections.select(F.col("section_id").cast("string").alias("section_id"), "text").mapInPandas(run, MATCH)
 
+def match(sections: DataFrame, terms: DataFrame, min_length: int = 1, blocked: set[str] = frozenset(), model: str = "Gazetteer", default_type: str = "Unknown", most_terms: int = 500_000) -> DataFrame:
+    """Mentions of ``terms`` (term, id, concept, type, at) in ``sections`` (section_id, text).
 
-def match(sections: DataFrame, terms: DataFrame, min_length: int = 1, blocked: set[str] = frozenset(), model: str = "Gazetteer", default_type: str = "Unknown", most_terms: int = 2_000_000) -> DataFrame:
-    """Mentions of ``terms`` (term, id, concept, type, at) in ``sections`` (section_id, text)."""
+    A section_id with several texts counts as one section for the fold over slices only if the dictionary is sliced.
+    """
     n = terms.count()
-    if n <= most_terms:
-        return _match(sections, terms.orderBy("at").collect(), min_length, blocked, model, default_type)
-    slices = -(-n // most_terms)
-    made = None
-    for k in range(slices):
-        part = terms.where(F.pmod(F.xxhash64(F.lower("term")), F.lit(slices)) == k).orderBy("at").collect()
-        found = _match(sections, part, min_length, blocked, model, default_type)
-        made = found if made is None else made.unionByName(found)
-    # longest at each start, then left to right without overlaps
-    w = Window.partitionBy("section_id", "start").orderBy(F.desc("end"))
-    longest = made.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
-    row = F.struct("start", "end", "text", "entity", "score", "model", "linked_id", "linked_name")
-    kept = F.aggregate(F.array_sort(F.collect_list(row)), F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string,entity:string,score:double,model:string,linked_id:string,linked_name:string>>").alias("rows")), lambda acc, x: F.when(x["start"] >= acc["at"], F.struct(x["end"].alias("at"), F.array_append(acc["rows"], x).alias("rows"))).otherwise(acc), lambda acc: acc["rows"])
-    return longest.groupBy("section_id").agg(kept.alias("r")).select("section_id", F.inline("r")).select(*[c.split()[0] for c in MATCH.split(", ")])
+    slices = max(1, -(-n // most_terms))
+    if slices == 1:
+        made = _match(sections, terms.orderBy("at").collect(), model, default_type, False)
+    else:
+        each = [_match(sections, terms.where(F.pmod(F.xxhash64(F.lower("term")), F.lit(slices)) == k).orderBy("at").collect(), model, default_type, True) for k in range(slices)]
+        w = Window.partitionBy("section_id", "start").orderBy(F.desc("end"))
+        longest = reduce(DataFrame.unionByName, each).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+        made = longest.groupBy("section_id").applyInArrow(_leftmost, longest.schema)
+    # an acronym's rejected match is used up all the same, and so are short and blocked ones
+    return made.where(F.col("good") & (F.length("text") >= min_length) & ~F.lower("text").isin(*sorted(blocked))).drop("good")
+
+
+def _leftmost(rows: pa.Table) -> pa.Table:
+    """The matches of a section, left to right without overlaps."""
+    rows = rows.sort_by("start")
+    keep, at = [], 0
+    for start, end in zip(rows.column("start").to_pylist(), rows.column("end").to_pylist()):
+        keep.append(start >= at)
+        at = end if start >= at else at
+    return rows.filter(pa.array(keep, pa.bool_()))

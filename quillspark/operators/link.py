@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,29 +50,34 @@ def dot(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def top_k(queries: DataFrame, entries: DataFrame, k: int = 7, digits: int = 6, most_entries: int = 200_000) -> DataFrame:
+def _scored(queries: DataFrame, entries: DataFrame, digits: int) -> DataFrame:
+    """Every query against every entry; the smaller entry side is broadcast, its size checked by the caller."""
+    e = F.broadcast(entries.select("entry", F.col("vector").alias("_v")))
+    return queries.select("query", "vector").join(e, F.lit(True)).select("query", "entry", F.round(dot("vector", "_v"), digits).alias("score"))
+
+
+def _slices(entries: DataFrame, most_bytes: int) -> list[DataFrame]:
+    """``entries`` in parts of about ``most_bytes`` bytes, by the count of rows and of the widest vector's numbers."""
+    n, width = entries.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    parts = max(1, -(-n * (8 * width + 32) // most_bytes))
+    return [entries] if parts == 1 else [entries.where(F.pmod(F.xxhash64("entry"), F.lit(parts)) == s) for s in range(parts)]
+
+
+def top_k(queries: DataFrame, entries: DataFrame, k: int = 7, digits: int = 6, most_bytes: int = 64 << 20) -> DataFrame:
     """(query, entry, score, rank): the ``k`` entries (entry, vector) of highest dot product by query (query, vector).
 
-    A stated query set against all entries. Entries are broadcast when their checked count is at most
-    ``most_entries``; more are taken in slices of that size, each giving its own top k, merged by a last ranking.
-    Scores are rounded, ties go to the lower entry.
+    A stated query set against all entries, in blocks: entries are broadcast in slices of checked size, each giving its
+    own top k, merged by a last ranking. Scores are rounded, ties go to the lower entry; null vectors score null and
+    come last.
     """
-    n = entries.count()
-    slices = max(1, -(-n // most_entries))
     w = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
-    made = None
-    for s in range(slices):
-        part = entries if slices == 1 else entries.where(F.pmod(F.xxhash64("entry"), F.lit(slices)) == s)
-        e = F.broadcast(part.select("entry", F.col("vector").alias("_v")))
-        scored = queries.select("query", "vector").join(e, F.lit(True)).select("query", "entry", F.round(dot("vector", "_v"), digits).alias("score"))
-        top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        made = top if made is None else made.unionByName(top)
-    return made if slices == 1 else made.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    each = [_scored(queries, part, digits).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) for part in _slices(entries, most_bytes)]
+    return each[0] if len(each) == 1 else reduce(DataFrame.unionByName, each).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def with_fallbacks(candidates: DataFrame, queries: DataFrame, fallbacks: DataFrame, digits: int = 6) -> DataFrame:
+def with_fallbacks(candidates: DataFrame, queries: DataFrame, fallbacks: DataFrame, digits: int = 6, most_bytes: int = 64 << 20) -> DataFrame:
     """``candidates`` of ``top_k`` and, ranked after them, the fallback entries that they lack, with their own scores."""
-    scored = queries.select("query", "vector").join(F.broadcast(fallbacks.select("entry", F.col("vector").alias("_v"))), F.lit(True)).select("query", "entry", F.round(dot("vector", "_v"), digits).alias("score"))
+    scored = reduce(DataFrame.unionByName, [_scored(queries, part, digits) for part in _slices(fallbacks, most_bytes)])
     lacking = scored.join(candidates.select("query", "entry"), ["query", "entry"], "left_anti")
     last = candidates.groupBy("query").agg(F.max("rank").alias("_last"))
     w = Window.partitionBy("query").orderBy("entry")

@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.operators.spans import merge_adjacent
+
 CHUNK_TOKENS = {"gliner": 385, "roberta": 512, "aioner": 512}
 MENTION = "section_id string, start int, end int, text string, entity string, score double, model string"
-_STOP = {"the", "a", "an", "of", "in", "on", "and", "or", "to", "for", "with", "by", "is", "are"}
+#: Words that are no mention by themselves: articles, auxiliaries, prepositions and a few adverbs.
+_STOP = frozenset("a above after again an are as at be been before being below between by can could dare did do does during for from had has have in into is may might must need of on once ought shall should the then through to under used was were will with would".split())
 _NUMBER = re.compile(r"^-?\d+([.,]\d+)?%?$")
 
 
@@ -124,10 +128,45 @@ def plausible(word: str) -> bool:
 
 
 def balance(start: int, end: int, text: str) -> tuple[int, int]:
-    """A span with one bracket more or less, so that its brackets pair up."""
+    """A span with the bracket that pairs up its own, where that bracket touches it; other spans stay."""
     part = text[start:end]
-    if part.count("(") > part.count(")"):
-        return (start, end + 1) if text[end : end + 1] == ")" else (start + 1, end) if part[0] == "(" else (start, end)
-    if part.count(")") > part.count("("):
-        return (start - 1, end) if start and text[start - 1] == "(" else (start, end - 1) if part[-1] == ")" else (start, end)
+    if part.count("(") > part.count(")") and text[end : end + 1] == ")":
+        return start, end + 1
+    if part.count(")") > part.count("(") and start > 0 and text[start - 1] == "(":
+        return start - 1, end
     return start, end
+
+
+def tagged_words(tokens: list[dict], text: str) -> list[dict]:
+    """Mentions (start, end, entity, score, word) of a tagger's byte-level pieces: joined, merged, filtered, balanced."""
+    out = []
+    for m in merge_tags(join_pieces(tokens, text), text):
+        start, end = balance(*complete(m["start"], m["end"], text), text)
+        if plausible(text[start:end].strip()):
+            out.append({"start": start, "end": end, "entity": m["entity"], "score": m["score"], "word": text[start:end]})
+    return out
+
+
+def wrapped(text: str, tag: str = "ALL") -> tuple[str, int]:
+    """A text between the marks that some taggers want, and how far its offsets are shifted by them."""
+    return f"<{tag}>{text}</{tag}>", len(tag) + 2
+
+
+def unwrapped(tokens: list[dict], text: str, shift: int) -> list[dict]:
+    """Mentions of a tagger that saw ``wrapped`` text: outside tags and continued pieces go, ``##`` ends are completed."""
+    out = []
+    for t in tokens:
+        start, end = t["start"] - shift, t["end"] - shift
+        if t["entity"].startswith("O") or t["word"].startswith("##") or start < 0 or end > len(text):
+            continue
+        while end < len(text) and text[end].isalnum() and text[end - 1].isalnum():
+            end += 1
+        out.append(t | {"start": start, "end": end, "word": text[start:end]})
+    return out
+
+
+def predict_all(sections: DataFrame, providers: list[Provider], threshold: float = 0.0, max_gap: int = 1) -> DataFrame:
+    """Mentions of several providers: neighbours are merged by provider, and once more over all of them by start."""
+    made = [merge_adjacent(predict(sections, p, threshold), max_gap, ties=("entity", "score")) for p in providers]
+    both = reduce(DataFrame.unionByName, made)
+    return merge_adjacent(both, max_gap, ties=("model", "entity", "score"))

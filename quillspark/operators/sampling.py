@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Into how many parts a group is ranked first.
+PARTS = 64
+
+
 def draw(seed: int, *columns: str) -> Column:
     """A reproducible order: the md5 of the seed and the row's key."""
     return F.md5(F.concat_ws("#", F.lit(str(seed)), *columns))
@@ -26,6 +30,9 @@ def capped(frame: DataFrame, key: str, per_mention: int = 2, n: int | None = Non
 def stratified(frame: DataFrame, group: str, key: str, n: int, seed: int = 42) -> DataFrame:
     """max(1, n // groups) rows of each group, topped up from the rest, ``n`` in all; no row twice."""
     groups = max(1, frame.select(group).distinct().count())
+    # no row past the first n of its part of a group can be drawn, so a large group is never sorted in one task
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS))
+    frame = _first(frame, [F.col(group), part], [draw(seed, key), F.col(key)], n)
     w = Window.partitionBy(group).orderBy(draw(seed, key), key)
     ranked = frame.withColumn("_n", F.row_number().over(w)).withColumn("_more", F.col("_n") > max(1, n // groups))
     return ranked.orderBy("_more", draw(seed, key), key).limit(n).drop("_n", "_more")

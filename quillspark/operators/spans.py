@@ -1,4 +1,8 @@
-"""Span algebra on flat mention rows (section_id, start, end, ...): offsets are code points, half open."""
+"""Span algebra on flat mention rows (section_id, start, end, ...): offsets are code points, half open.
+
+Defined results: empty tables give empty tables; repeated rows stay, or merge with each other; null types and models never
+merge; other columns are kept, but names that begin with an underscore are the functions' own.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +12,20 @@ from pyspark.sql.window import Window
 
 
 def without_overlaps(mentions: DataFrame, kept: DataFrame, section: str = "section_id") -> DataFrame:
-    """Rows of ``mentions`` that overlap no row of ``kept`` in their section: an equi anti-join with a range residual."""
-    k = kept.select(F.col(section).alias("_s"), F.col("start").alias("_a"), F.col("end").alias("_b"))
-    return mentions.join(k, (F.col(section) == F.col("_s")) & (F.col("start") < F.col("_b")) & (F.col("end") > F.col("_a")), "left_anti")
+    """Rows of ``mentions`` that overlap no row of ``kept`` in their section (spans are not empty).
+
+    A sweep by start: a kept span that begins no later overlaps if its end lies beyond the mention's start, one that
+    begins later if it begins before the mention's end. So two running extremes decide, and a section of n spans costs
+    one sort. Null sections never overlap.
+    """
+    rest = F.struct(*[F.col(f"`{c}`") for c in mentions.columns])
+    both = mentions.select(F.col(section).alias("sec"), F.col("start").alias("a"), F.col("end").alias("b"), rest.alias("row")).unionByName(kept.where(F.col(section).isNotNull()).select(F.col(section).alias("sec"), F.col("start").alias("a"), F.col("end").alias("b")), allowMissingColumns=True)
+    w = Window.partitionBy("sec").orderBy("a")
+    held = F.col("row").isNull()
+    before = F.max(F.when(held, F.col("b"))).over(w.rangeBetween(Window.unboundedPreceding, 0))
+    after = F.min(F.when(held, F.col("a"))).over(w.rangeBetween(1, Window.unboundedFollowing))
+    swept = both.select("row", "a", "b", before.alias("before"), after.alias("after")).where("row is not null")
+    return swept.where(~(F.coalesce(F.col("before") > F.col("a"), F.lit(False)) | F.coalesce(F.col("after") < F.col("b"), F.lit(False)))).select("row.*")
 
 
 def merge_sources(gazetteer: DataFrame, models: DataFrame) -> DataFrame:

@@ -1,9 +1,14 @@
-"""Title/abstract and legal records (JSON arrays or JSON lines) as sections, and the sinks' JSON lines."""
+"""Title/abstract and legal records (JSON arrays or JSON lines) as sections, and the sinks' JSON lines.
+
+Defined results: records without an id or without text give no section; null and blank titles and texts are absent;
+repeated records are repeated sections; an empty table gives no rows; other columns are not read.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillspark.functions.text import squeeze, strip
 
@@ -13,16 +18,12 @@ LINK = "struct<source:string,id:string,name:string,score:double,frequency:bigint
 ENTITIES = f"section_id string, entities array<struct<entity:string,text:string,score:double,start:int,end:int,model:string,domain:string,section_id:string,linking:array<{LINK}>,type_mismatch:boolean>>"
 
 
-def json_records(spark: SparkSession, path: str, schema: str, array: bool | None = None) -> DataFrame:
-    """Rows of a file (its first character tells an array from lines) or, with ``array`` given, of any path.
+def json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a file, or of the files of a folder: each an array (its first character tells) or lines.
 
-    Malformed rows are skipped.
+    Malformed and blank lines are skipped, and so is an array that is broken.
     """
-    if array is None:
-        first = spark.read.text(path).where(F.trim("value") != "").select(F.substring(F.trim("value"), 1, 1)).first()
-        array = bool(first) and first[0] == "["
-    read = spark.read.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", array)
-    return read.json(path).where("_corrupt is null").drop("_corrupt")
+    return directory(spark, path, schema, pattern="*").drop("source_file")
 
 
 def _join(title: Column, body: Column, stops: str) -> Column:
@@ -56,11 +57,33 @@ def legal_sections(records: DataFrame, include_title: bool = True) -> DataFrame:
     return made
 
 
-def directory(spark: SparkSession, path: str, schema: str, domain: str | None = None, pattern: str = "*.json*") -> DataFrame:
-    """Records of all matching files with source_file; ``domain`` keeps files whose name begins with it, case aside."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    rows = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(path).withColumn("source_file", name)
-    return rows.where(F.lower("source_file").startswith(domain.lower())) if domain else rows
+def directory(spark: SparkSession, path: str, schema: str, domain: str | None = None, part: str | None = None, pattern: str = "*.json*") -> DataFrame:
+    """Records of all matching files below ``path`` with source_file; arrays and lines may stand side by side.
+
+    ``domain`` keeps files whose name begins with it, ``part`` those whose name holds it, case aside. Malformed lines and
+    arrays are skipped: every line of a file of lines is read by itself, a file that begins with ``[`` as one value.
+    """
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True).select(F.url_decode(F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\\+", "%2B")).alias("source_file"), strip(F.col("value")).alias("value"))
+    if domain:
+        text = text.where(F.lower("source_file").startswith(domain.lower()))
+    if part:
+        text = text.where(F.lower("source_file").contains(part.lower()))
+    array = F.col("value").startswith("[")
+    whole = text.where(array).select("source_file", F.explode(F.from_json("value", f"array<struct<{_typed(schema)}>>")).alias("r"))
+    lines = text.where(~array).select("source_file", F.explode(F.split("value", r"\n")).alias("line")).where(F.trim("line").startswith("{")).select("source_file", F.from_json("line", f"struct<{_typed(schema)}>").alias("r"))
+    return whole.unionByName(lines).where("r is not null").select("r.*", "source_file")
+
+
+def _typed(schema: str) -> str:
+    """A column list as the fields of a struct."""
+    return ", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in StructType.fromDDL(schema))
+
+
+def file_counts(records: DataFrame, sections: DataFrame, text: str = "section_content_expanded") -> DataFrame:
+    """By source_file: records, sections, and the mean and greatest length of the sections' texts."""
+    n = records.groupBy("source_file").agg(F.count("*").alias("records"))
+    made = sections.groupBy("source_file").agg(F.count("*").alias("sections"), F.round(F.avg(F.length(text)), 6).alias("mean_length"), F.max(F.length(text)).alias("max_length"))
+    return n.join(made, "source_file", "left").withColumn("sections", F.coalesce("sections", F.lit(0)))
 
 
 def entity_lines(mentions: DataFrame, sections: DataFrame | None = None) -> DataFrame:
@@ -71,7 +94,7 @@ def entity_lines(mentions: DataFrame, sections: DataFrame | None = None) -> Data
     if sections is None:
         return lines
     joined = sections.select("section_id").distinct().join(lines, "section_id", "left")
-    return joined.withColumn("entities", F.coalesce("entities", F.expr("slice(array(null), 1, 0)").cast(lines.schema["entities"].dataType)))
+    return joined.withColumn("entities", F.coalesce("entities", F.array().cast(lines.schema["entities"].dataType)))
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "append", by: str | None = None) -> None:

@@ -135,7 +135,9 @@ def read_triples(spark: SparkSession, path: str) -> DataFrame:
                     out.append((name, None, None, None, f"parse_error: {e}"))
             yield pd.DataFrame(out, columns=["file_path", "s", "p", "o", "error"])
 
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.ttl").text(path).select(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")).alias("path"), "value")
+    # names hold "::", which the local file system's checksum files can't: for local paths the file system without these
+    raw = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+    files = spark.read.options(**raw).option("recursiveFileLookup", True).option("pathGlobFilter", "*.ttl").text(path, wholetext=True).select(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")).alias("path"), "value")
     return files.mapInPandas(run, "file_path string, s string, p string, o string, error string")
 
 
@@ -156,4 +158,4 @@ def affiliations(rows: DataFrame) -> DataFrame:
     from quillspark.functions.text import affiliation
 
     raw = rows.where(F.col("p").contains("affRawAffiliationString"))
-    return raw.groupBy(F.col("s").alias("affiliation_id")).agg(F.min_by("o", "file_path").alias("o"), F.min("file_path").alias("source_file")).select("affiliation_id", affiliation(F.col("o")).alias("raw_affiliation"), "source_file")
+    return raw.groupBy(F.col("s").alias("affiliation_id")).agg(F.min(F.struct("file_path", "o")).alias("first")).select("affiliation_id", F.col("first.o").alias("o"), F.col("first.file_path").alias("source_file")).select("affiliation_id", affiliation(F.col("o")).alias("raw_affiliation"), "source_file")
