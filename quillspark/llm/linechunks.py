@@ -29,11 +29,12 @@ every run is elsewhere stays with an empty text or what is left. Extra columns o
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
@@ -279,6 +280,19 @@ def find(bodies: list[bytes], kept: list[list[int] | None], gone: list[list[int]
     return Found(r, np.concatenate(firsts), np.concatenate(later))
 
 
+def _packer(pack: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Packs or unpacks the column ``body`` of batches, nulls aside; slices hold about a megabyte."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = zstandard.ZstdCompressor(level=1).compress if pack else zstandard.ZstdDecompressor().decompress
+        for batch in batches(source, most=1_000_000 if pack else 300_000):
+            at = batch.schema.get_field_index("body")
+            made = pa.array([None if b is None else turn(b) if b else b for b in batch.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([made if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+
+    return run
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """Every row of ``docs``, all columns kept, its text without repeated runs, and removed_chunks (runs that touch count once).
 
@@ -288,11 +302,13 @@ def dedup(docs: DataFrame) -> DataFrame:
     rest = [n for n in names if n != "text"]
     quoted = {n: F.col("`" + n.replace("`", "``") + "`") for n in names}
     own = docs.select(quoted["doc_id"].alias("doc"), F.xxhash64(F.coalesce(quoted["text"].cast("binary"), F.lit(b""))).alias("key"), quoted["text"].cast("binary").alias("body"), F.struct(*[quoted[n].alias(n) for n in rest]).alias("rest"))
+    # texts are shuffled packed
+    own = own.mapInArrow(_packer(pack=True), own.schema)
     spans = repeated(docs).withColumnsRenamed({"doc_id": "of_doc", "tkey": "of_key"})
     on = own["doc"].eqNullSafe(spans["of_doc"]) & (own["key"] == spans["of_key"])
 
     def pieces(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source, most=1_000_000):
+        for batch in _packer(pack=False)(source):
             bodies = batch.column(0).to_pylist()
             f = find(bodies, batch.column(2).to_pylist(), batch.column(3).to_pylist())
             at = np.concatenate([f.first, f.later])
@@ -300,7 +316,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             yield as_batch({"h": pa.array([h for h, _ in found], pa.int64()), "piece": pa.array([p for _, p in found], pa.binary())})
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source, most=1_000_000):
+        for batch in _packer(pack=False)(source):
             made, removed = batch.column(0).to_pylist(), [0] * batch.num_rows
             unlike = [set(u or ()) for u in batch.column(4).to_pylist()]
             f = find([b or b"" for b in made], *(batch.column(i).to_pylist() for i in (2, 3)))
