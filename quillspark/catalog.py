@@ -468,3 +468,26 @@ def domain_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("p_type") == "SMALL", "Storage").when(F.col("p_type") == "PROMO", "").otherwise(F.col("p_type"))
     path = F.when(F.col("p_partkey") % 3 == 0, "a/IRENA-v2.tsv").when(F.col("p_partkey") % 3 == 1, "b/Vessel.tsv").otherwise(F.concat(F.lit("c/x."), F.lower("p_brand"), F.lit(".tsv")))
     return p.select("p_partkey", domains.mention_type(kind, "energy").alias("mapped"), domains.source_of(path).alias("source"))
+
+
+@register(f"WITH {_MENTIONS} SELECT doc_id, \"start\", CASE WHEN linked_id = 'C4' THEN entity ELSE 'energytype' END AS entity, CASE WHEN linked_id = 'C4' THEN 'Other' ELSE 'EnergyGazetteer' END AS model FROM mention")
+def gazetteer_relabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _mentions(spark, sf_dir).withColumn("model", F.when(F.col("linked_id") == "C4", "Other").otherwise(F.col("model")))
+    types = _vocab(spark).groupBy("id").agg(F.min_by("type", "ord").alias("type"))
+    return spans.relabelled(m, types, "EnergyGazetteer", domains.mention_type(F.col("entry_type"), "energy")).select("doc_id", "start", "entity", "model")
+
+
+@register(f"WITH {_MENTIONS} SELECT lower(text) AS value, count(*) AS n FROM mention GROUP BY 1 ORDER BY n DESC, value LIMIT 20")
+def top_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.value_counts(_mentions(spark, sf_dir).withColumn("text", F.lower("text")), "text", 20)
+
+
+@register("SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS id, p_name AS concept, p_type AS type, CAST(p_size AS BIGINT) AS freq FROM part JOIN orders ON o_custkey = p_partkey")
+def entry_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link.by_id(_table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id")), _parts(spark, sf_dir))
+
+
+@register("SELECT (id).id AS query, rank, c AS concept FROM (SELECT struct_pack(id := p_name) AS id, row_number() OVER (PARTITION BY p_name ORDER BY freq DESC, ord, i) AS rank, c FROM (SELECT DISTINCT p_name FROM part) q JOIN (SELECT CAST(p_partkey AS VARCHAR) AS i, p_name AS c, string_split(lower(CAST(p_partkey AS VARCHAR) || ' ' || p_name || ' ' || p_brand), ' ') AS t, CAST(p_size AS BIGINT) AS freq, p_partkey AS ord FROM part) e ON list_has_all(t, string_split(lower(p_name), ' '))) WHERE rank <= 10")
+def full_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _parts(spark, sf_dir)
+    return vocabulary.search(p, p.select(F.col("concept").alias("query")).distinct()).select("query", F.col("rank").cast("long").alias("rank"), "concept")

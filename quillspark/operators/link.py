@@ -1,4 +1,8 @@
-"""Linking: exact lookup with spelling variants, first-use memo, vector top-k with fallbacks, type checks, prompts."""
+"""Linking: exact lookup with spelling variants, first-use memo, vector top-k with fallbacks, type checks, prompts.
+
+Defined results: null and blank texts link to nothing and stay; repeated mentions are linked each; ties fall to load
+order, then id; an empty table or vocabulary gives no links; names that begin with an underscore are the functions' own.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillspark.functions.text import answer_choice, strip, variants
-from quillspark.operators.vocabulary import lookup
+from quillspark.operators.vocabulary import lookup, lookup_entities
 
 
 def exact(mentions: DataFrame, vocab: DataFrame, by_type: bool = False) -> DataFrame:
@@ -39,6 +43,11 @@ def all_matches(mentions: DataFrame, vocab: DataFrame, limit: int = 10) -> DataF
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit).drop("ord")
 
 
+def by_id(ids: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(id, concept, type, freq) of the asked ids (id) that have an entry: their first loaded row."""
+    return ids.select("id").distinct().join(lookup_entities(vocab), "id").select("id", "concept", "type", "freq")
+
+
 def first_uses(mentions: DataFrame, order: list[str], key: Column | None = None) -> DataFrame:
     """One row per lower-cased mention text: its first in ``order``; a memo to link once and join back."""
     k = F.lower("text") if key is None else key
@@ -147,3 +156,14 @@ def contexts(mentions: DataFrame, window: int = 5, most: int = 3) -> DataFrame:
     starts = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("_t") - F.size("_w") + 1)), lambda i: F.slice("_t", i, F.size("_w")) == F.col("_w"))
     windows = F.transform(starts, lambda i: F.array_join(F.slice("_t", F.greatest(F.lit(1), i - window), F.size("_w") + window + F.least(F.lit(window), i - 1)), " "))
     return mentions.withColumn("_t", toks).withColumn("_w", want).withColumn("contexts", F.slice(F.array_distinct(windows), 1, most)).drop("_t", "_w")
+
+
+def sentence_contexts(mentions: DataFrame, most: int = 3) -> DataFrame:
+    """``mentions`` (text, section text) with ``contexts``: up to ``most`` distinct sentences that hold the mention, case aside.
+
+    Sentences end after ``.``, ``!`` or ``?`` and blanks; null and blank mentions have none.
+    """
+    parts = F.transform(F.split(F.regexp_replace("section", r"(?U)([.!?])\s+", "$1\u0001"), "\u0001"), strip)
+    held = F.filter(parts, lambda s: (s != "") & F.lower(s).contains(F.lower(strip(F.col("text")))))
+    found = F.when(strip(F.col("text")) != "", F.slice(F.array_distinct(held), 1, most))
+    return mentions.withColumn("contexts", F.coalesce(found, F.array().cast("array<string>")))

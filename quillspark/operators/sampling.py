@@ -1,4 +1,8 @@
-"""Annotation samples: seeded, capped by mention, stratified; statistics."""
+"""Annotation samples: seeded, capped by mention, stratified; statistics.
+
+Defined results: null texts and groups are a value like others; repeated keys are drawn together; a sample larger than
+its table is the table; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -64,3 +68,16 @@ def balanced_files(counts: DataFrame, n: int) -> DataFrame:
 
 def statistics(frame: DataFrame, by: str) -> DataFrame:
     return frame.groupBy(by).agg(F.count("*").alias("n"), F.countDistinct(F.lower("text")).alias("distinct_mentions"), F.round(F.avg(F.length("text")), 6).alias("avg_length"))
+
+
+def value_counts(frame: DataFrame, column: str, n: int | None = None) -> DataFrame:
+    """(value, n) of a column, most frequent first, then by value; the first ``n`` if given. Nulls count as a value."""
+    made = frame.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value")
+    return made if n is None else made.limit(n)
+
+
+def model_balanced(frame: DataFrame, key: str, n: int, per_mention: int = 3, seed: int = 42) -> DataFrame:
+    """A sample of ``n`` rows with an equal share of each linking_model, at most ``per_mention`` of a mention in each."""
+    from quillspark.operators.annotate import two_level
+
+    return two_level(frame, "linking_model", key, n, per_mention, seed)

@@ -90,14 +90,31 @@ def replace_gazetteer(old: DataFrame, new: DataFrame) -> DataFrame:
 def match_mentions(samples: DataFrame, mentions: DataFrame, slack: int = 1) -> DataFrame:
     """Each sample's mention: same span and text (tier 1), else both ends within ``slack`` and the same text (tier 2).
 
-    The band becomes an equi-join on start, once per shift, so no range join over a section is needed. The first mention
-    by (start, end, text) wins within a tier; samples without one have nulls.
+    Where samples have a ``model``, tier 1 also wants one model's name to hold the other's, case aside (a null or empty
+    one holds for all). The band becomes an equi-join on start, once per shift, so no range join over a section is
+    needed. The first mention by (start, end, text) wins within a tier; samples without one have nulls.
     """
     shifts = F.array(*[F.lit(k) for k in range(-slack, slack + 1)])
     s = samples.withColumn("_probe", F.explode(shifts)).withColumn("_probe", F.col("start") + F.col("_probe"))
-    m = mentions.select("section_id", F.col("start").alias("_probe"), F.col("end").alias("m_end"), F.col("text").alias("m_text"), F.col("score").alias("m_score"))
+    named = "model" in samples.columns and "model" in mentions.columns
+    extra = [F.lower("model").alias("m_model")] if named else []
+    m = mentions.select("section_id", F.col("start").alias("_probe"), F.col("end").alias("m_end"), F.col("text").alias("m_text"), F.col("score").alias("m_score"), *extra)
     near = (F.abs(s["end"] - m["m_end"]) <= slack) & (F.lower(s["text"]) == F.lower(m["m_text"]))
     hit = s.join(m, ["section_id", "_probe"]).where(near)
-    tier = F.when((F.col("_probe") == F.col("start")) & (F.col("m_end") == F.col("end")), 1).otherwise(2)
+    same = (F.col("_probe") == F.col("start")) & (F.col("m_end") == F.col("end"))
+    if named:
+        own, other = F.coalesce(F.lower("model"), F.lit("")), F.coalesce("m_model", F.lit(""))
+        same = same & (own.contains(other) | other.contains(own))
+    tier = F.when(same, 1).otherwise(2)
     best = hit.groupBy("sample_id").agg(F.min(F.struct(tier.alias("tier"), F.col("_probe").alias("m_start"), "m_end", "m_text", "m_score")).alias("b"))
     return samples.join(best, "sample_id", "left").select(*samples.columns, "b.tier", "b.m_start", "b.m_end", "b.m_score")
+
+
+def relabelled(mentions: DataFrame, types: DataFrame, model: str, kind: Column) -> DataFrame:
+    """Mentions whose model has "Gazetteer" in its name, with another ``model`` and the type that ``kind`` makes of the
+    entry's type (``entry_type``, from (id, type) by linked_id); others stay as they are."""
+    table = types.groupBy(F.col("id").alias("linked_id")).agg(F.max("type").alias("entry_type"))
+    ours = F.coalesce(F.col("model"), F.lit("")).contains("Gazetteer")
+    joined = mentions.join(table, "linked_id", "left")
+    changed = {"entity": F.when(ours, kind).otherwise(F.col("entity")), "model": F.when(ours, model).otherwise(F.col("model"))}
+    return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in mentions.columns])

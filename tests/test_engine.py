@@ -382,3 +382,11 @@ def test_engine_on_odd_tables(spark):
         for frame in frames:
             frame.collect()
         assert link.exact(mentions, v).count() == n
+
+
+def test_sentence_contexts_and_models(spark):
+    rows = spark.createDataFrame([("Wind", "Wind blows. No air! the wind again. Wind blows."), ("", "a. b"), (None, "a"), ("x", None)], "text string, section string")
+    assert [r.contexts for r in link.sentence_contexts(rows).collect()] == [["Wind blows.", "the wind again."], [], [], []]
+    found = spark.createDataFrame([("a", "s", 0, 4, "wind", "Gazetteer-x"), ("b", "s", 0, 4, "wind", "roberta")], "sample_id string, section_id string, start int, end int, text string, model string")
+    mentions = spark.createDataFrame([("s", 0, 4, "Wind", "E", "gazetteer", 0.5)], MENTIONS)
+    assert sorted((r.sample_id, r.tier) for r in spans.match_mentions(found, mentions).collect()) == [("a", 1), ("b", 2)]
