@@ -170,10 +170,10 @@ def chunk_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.first_of_span(_spans(spark, sf_dir), ["k"]).select("section_id", "entity", "start", "end", "k")
 
 
-@register(f"WITH s AS (SELECT section_id, \"start\", max(\"end\") AS \"end\", max(k) % 10 / 10 AS score FROM ({_SPANS}) GROUP BY ALL), m AS (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY section_id ORDER BY \"start\", \"end\") <= 1 THEN 0 ELSE 1 END b FROM s), i AS (SELECT *, sum(b) OVER (PARTITION BY section_id ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) g FROM m) SELECT section_id, min(\"start\") AS \"start\", arg_max(\"end\", \"start\") AS \"end\", count(*) AS n, round(list_reduce(list(CAST(score AS DOUBLE) ORDER BY \"start\"), lambda x, y: (x + y) / 2), 6) AS score FROM i GROUP BY section_id, g")
+@register(f"WITH s AS (SELECT section_id, \"start\", max(\"end\") AS \"end\", max(k) % 8 / 8 AS score FROM ({_SPANS}) GROUP BY ALL), m AS (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY section_id ORDER BY \"start\", \"end\") <= 1 THEN 0 ELSE 1 END b FROM s), i AS (SELECT *, sum(b) OVER (PARTITION BY section_id ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) g FROM m) SELECT section_id, min(\"start\") AS \"start\", arg_max(\"end\", \"start\") AS \"end\", count(*) AS n, list_reduce(list(CAST(score AS DOUBLE) ORDER BY \"start\"), lambda x, y: (x + y) / 2) AS score FROM i GROUP BY section_id, g")
 def geo_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _spans(spark, sf_dir).groupBy("section_id", "start").agg(F.max("end").alias("end"), (F.max("k") % 10 / 10).alias("score")).withColumn("text", F.lit("x"))
-    return spans.merge_places(s).select("section_id", "start", "end", F.size(F.split("text", " ")).cast("long").alias("n"), F.round("score", 6).alias("score"))
+    s = _spans(spark, sf_dir).groupBy("section_id", "start").agg(F.max("end").alias("end"), (F.max("k") % 8 / 8).alias("score")).withColumn("text", F.lit("x"))
+    return spans.merge_places(s).select("section_id", "start", "end", F.size(F.split("text", " ")).cast("long").alias("n"), "score")
 
 
 @register("WITH w AS (SELECT doc_id, regexp_extract_all(text, '\\s*\\S+') p FROM documents), c AS (SELECT doc_id, p, unnest(range(CAST(greatest(0, ceil((len(p) - 100) / 75.0)) AS BIGINT) + 1)) AS chunk FROM w WHERE len(p) > 0), t AS (SELECT doc_id, chunk, array_to_string(p[1:chunk * 75], '') a, array_to_string(p[chunk * 75 + 1:chunk * 75 + 100], '') b FROM c) SELECT doc_id, CAST(chunk AS INT) AS chunk, CAST(length(a) + length(b) - length(ltrim(b, e' \\n\\t\\r')) AS INT) AS \"offset\", md5(ltrim(b, e' \\n\\t\\r')) AS text_md5 FROM t")
