@@ -31,7 +31,7 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], buckets: int, sa
     """
     made = df.withColumn("_b", F.pmod(salt, F.lit(buckets)).cast("int"))
     sums = made.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
-    whole = W.Window.partitionBy(*keys).orderBy("_b").rowsBetween(W.Window.unboundedPreceding, -1) if keys else W.Window.orderBy("_b").rowsBetween(W.Window.unboundedPreceding, -1)
+    whole = W.Window.partitionBy(*keys).orderBy("_b").rowsBetween(W.Window.unboundedPreceding, -1)
     offsets = sums.select(*keys, "_b", F.coalesce(F.sum("_n").over(whole), F.lit(0)).alias("_before"))
     inside = W.Window.partitionBy(*keys, "_b").orderBy(*order)
     own = made.withColumn("_within", F.row_number().over(inside) - 1)
