@@ -45,14 +45,14 @@ class FastTokenizer:
     """
 
     def __init__(self, path: str) -> None:
-        self.plain = Tokenizer.from_file(path)
+        self.path, self.plain, self.fast = path, None, None
         ranks = path.removesuffix(".json") + ".tiktoken"
-        self.fast = None
         if path.endswith(".json") and os.path.exists(ranks):
             with open(ranks, "rb") as lines:
                 merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            special = {t.content: i for i, t in self.plain.get_added_tokens_decoder().items()}
-            if set(merges.values()) | set(special.values()) == set(range(self.plain.get_vocab_size())):
+            plain = Tokenizer.from_file(path)  # not kept: it takes more memory than the other
+            special = {t.content: i for i, t in plain.get_added_tokens_decoder().items()}
+            if set(merges.values()) | set(special.values()) == set(range(plain.get_vocab_size())):
                 self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens=special)
 
     def ids(self, text: str) -> np.ndarray:
@@ -62,6 +62,8 @@ class FastTokenizer:
                 return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
             except ValueError:
                 pass
+        if self.plain is None:
+            self.plain = Tokenizer.from_file(self.path)
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4")
 
 

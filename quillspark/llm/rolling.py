@@ -7,18 +7,23 @@ import numpy as np
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _TABLE = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 64, 256, dtype=np.uint64)
+#: How many powers a worker keeps (longer texts make theirs).
+KEPT = 1 << 21
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse, kept between calls."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers[0][:n], _powers[1][:n]
+    """The first ``n`` powers of the base and of its inverse, kept between calls up to KEPT."""
+    if len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1][:n]
+    made = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(-(-n // 65536) * 65536, base, np.uint64)
+        steps[0] = 1
+        made.append(np.cumprod(steps))
+    if len(made[0]) <= KEPT:
+        _powers[:] = made
+    return made[0][:n], made[1][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_batch, batches, checkpointed, labelled_sample, logistic, sigmoid, text_bytes, tokens
+from quillspark.llm.common import as_batch, batches, checkpointed, labelled_sample, sigmoid, sparse_logistic, text_bytes, tokens
 
 #: What a character may stand for besides itself, with the channel's cost.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "li", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
@@ -318,24 +318,29 @@ def fit(sample: list[tuple[bytes, int]], prior: float | None = None, least: int
     # texts of label 1 name the candidates; only these are counted, and kept by text, in the others
     in_one = Counter(f for t, y in texts if y for f in _features(t, characters, {}, None))
     in_one = Counter({w: n for w, n in in_one.items() if n >= least})
-    memo: dict[str, tuple[str, ...]] = {}  # of words to candidates only, so it stays small
-    sets = [(_features(t, characters, memo, in_one.keys()), y) for t, y in texts]
-    in_zero = Counter(w for s, y in sets if not y for w in s)
+    names = sorted(in_one)
+    number = {w: i for i, w in enumerate(names)}
+    # texts as arrays of their candidates' numbers: as sets of words they would take a hundred times the memory
+    memo: dict[str, tuple[str, ...]] = {}
+    found = [(np.array(sorted(number[f] for f in _features(t, characters, memo, in_one.keys())), np.int32), y) for t, y in texts]
+    memo.clear()
+    zero = np.bincount(np.concatenate([x for x, y in found if not y] or [np.zeros(0, np.int32)]), minlength=len(names))
     strong = []
     for w, n in in_one.items():
-        a, b = n / ones, in_zero[w] / zeros
-        p = (n + in_zero[w]) / len(texts)
+        z0 = int(zero[number[w]])
+        a, b = n / ones, z0 / zeros
+        p = (n + z0) / len(texts)
         z = (a - b) / math.sqrt(p * (1 - p) * (1 / ones + 1 / zeros) + 1e-12)
         if z >= 4 and a > 4 * b:
             strong.append((z, w))
     chosen = [w for _, w in sorted(strong, key=lambda x: (-x[0], x[1]))]
+    place = np.full(len(names), -1)
+    place[[number[w] for w in chosen]] = np.arange(len(chosen))
     # most texts have none of the words: equal rows are one with a weight
-    weight = Counter((tuple(i for i, w in enumerate(chosen) if w in s), y) for s, y in sets)
-    x = np.zeros((len(weight), len(chosen) + 1))
-    for k, (hits, _) in enumerate(weight):
-        x[k, list(hits)] = 1
-        x[k, -1] = bool(hits)
-    w = logistic(x, np.array([y for _, y in weight], float), ridge=1.0, weight=np.array(list(weight.values()), float))
+    weight = Counter((tuple(sorted(place[x][place[x] >= 0].tolist())), y) for x, y in found)
+    # columns: the words, whether any is there, and the intercept
+    lists = [[*hits, *([len(chosen)] if hits else []), len(chosen) + 1] for hits, _ in weight]
+    w = sparse_logistic(lists, len(chosen) + 2, np.array([y for _, y in weight], float), np.array(list(weight.values()), float), ridge=1.0)
     intercept = float(w[-1])
     if prior is not None and 0 < prior < 1:
         intercept += math.log(prior / (1 - prior)) - math.log(ones / zeros)
@@ -360,7 +365,7 @@ def count_trigrams(docs: DataFrame) -> dict[str, int]:
     """How often each trigram is in the plain words of all documents; counted by batch, then summed."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source, most=4_000_000):
+        for batch in batches(source):
             _, codes, words, _ = tokens(batch.column(0))
             counts = np.bincount(codes, minlength=len(words))
             kept = [i for i, w in enumerate(words) if w.isalpha() and plain(w)]

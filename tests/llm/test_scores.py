@@ -156,3 +156,17 @@ def test_language_scores_against_plain_naive_bayes():
         best = max(logs, key=logs.get)
         assert langs[k] == best and score[k] == pytest.approx(1 / sum(math.exp(v - logs[best]) for v in logs.values()), rel=1e-4)
         assert model.predict([text])[1][0] == score[k]  # whatever stands beside it
+
+
+def test_sparse_logistic_is_the_dense_one():
+    import numpy as np
+
+    from quillspark.llm.common import logistic, sparse_logistic
+
+    rng = np.random.default_rng(8)
+    x = (rng.random((120, 9)) < 0.3).astype(float)
+    y = (rng.random(120) < 0.2 + 0.6 * x[:, 0]).astype(float)
+    lists = [[*np.flatnonzero(r).tolist(), 9] for r in x]
+    assert sparse_logistic(lists, 10, y, np.ones(120), 1.0) == pytest.approx(logistic(x, y, 1.0), abs=1e-6)
+    half = [lists[i] for i in range(60)]
+    assert sparse_logistic(half, 10, y[:60], np.full(60, 2.0), 1.0) == pytest.approx(logistic(np.vstack([x[:60]] * 2), np.hstack([y[:60]] * 2), 1.0), abs=1e-6)
