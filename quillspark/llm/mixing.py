@@ -34,6 +34,8 @@ WEIGHTS = (5, 2, 1)
 _WORD = re.compile(WORD)
 #: Shards a group, and equal rows that stay together.
 SHARDS, TOGETHER = 256, 1024
+#: Up to how many sources or shards (under 100 bytes each) are broadcast; more are joined by a shuffle.
+MOST_BROADCAST = 100_000
 
 
 def word_count(text: str = "text") -> Column:
@@ -113,8 +115,9 @@ def capped(blocks: list[int], seats: int) -> list[int]:
     return quota
 
 
-def _same(a: DataFrame, b: DataFrame, *names: str) -> DataFrame:
-    """Inner join on ``names``, null equal to null; b's names go."""
+def _same(a: DataFrame, b: DataFrame, rows: int, *names: str) -> DataFrame:
+    """Inner join on ``names``, null equal to null; b's names go. ``b`` has about ``rows`` rows, and is broadcast if these are few."""
+    b = F.broadcast(b) if rows <= MOST_BROADCAST else b
     on = [a[n].eqNullSafe(b[n]) for n in names]
     joined = a.join(b, on)
     for n in names:
@@ -137,7 +140,7 @@ def _plan(rows: DataFrame, share: float, most: float, block: int, rows_per_shard
     order = sorted(per, key=lambda s: (s is None, s or ""))
     words = dict(zip(order, (q * grain for q in sainte_lague([rest[s] for s in order], round(sum(rest.values()) / grain)))))
     about = spark.createDataFrame([(s, shards[s], size[s], passes[s], per[s][1], goal[s]) for s in per], "source string, shards int, block int, passes int, source_size long, target double")
-    placed = _same(rows, about, "source").withColumn("shard", F.pmod("place", F.col("shards").cast("long")).cast("int"))
+    placed = _same(rows, about, len(per), "source").withColumn("shard", F.pmod("place", F.col("shards").cast("long")).cast("int"))
     totals = placed.groupBy("source", "shard", "block").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
     blocks = F.when(F.col("words") > 0, F.greatest(F.lit(1), F.round(F.col("words") / F.col("block")))).otherwise(0).cast("long")
     totals = checkpointed(totals.withColumn("blocks", blocks).withColumn("group", (F.col("shard") / SHARDS).cast("int")))
@@ -151,8 +154,8 @@ def _plan(rows: DataFrame, share: float, most: float, block: int, rows_per_shard
         data = data.sort_by("shard")
         return data.select(["source", "shard", "words", "blocks"]).append_column("quota", pa.array(capped(data.column("blocks").to_pylist(), data.column("seats")[0].as_py()), pa.int64()))
 
-    dealt = _same(totals, seats, "source", "group").groupBy("source", "group").applyInArrow(deal, "source string, shard int, words long, blocks long, quota long")
-    return _same(placed, dealt, "source", "shard")
+    dealt = _same(totals, seats, len(quotas), "source", "group").groupBy("source", "group").applyInArrow(deal, "source string, shard int, words long, blocks long, quota long")
+    return _same(placed, checkpointed(dealt), sum(shards.values()), "source", "shard")
 
 
 def _rows(docs: DataFrame, seed: int, *extra: str) -> DataFrame:
