@@ -108,6 +108,8 @@ def fit_table(docs: DataFrame, modulus: int = 5, held_out: int = 0, most_rows: i
         return fit([])
     each = max(1, most_rows // len(n))
     shares = docs.sparkSession.createDataFrame([(lang, share_of(each, c)) for lang, c in n.items()], "lang string, share double")
+    # a number a language, checked: a broadcast keeps texts from being shuffled by language
+    shares = F.broadcast(shares) if len(n) <= 100_000 else shares
     place = hashed_share("lang", "doc_id")
     picked = usable.join(shares, "lang").where(place < F.col("share")).groupBy("doc_id", "lang", place.alias("place")).agg(F.min("text").alias("text"))
     by: dict[str, list] = {}
