@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WORD, as_batch, checkpointed
+from quillspark.llm.common import WORD, checkpointed, give_back
 
 WEIGHTS = (5, 2, 1)
 _WORD = re.compile(WORD)
@@ -182,7 +182,9 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32,
 
     def take(data: pa.Table) -> pa.Table:
         data = data.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
-        data = data.take(pa.array(np.repeat(np.arange(data.num_rows), data.column("copies").to_numpy())))
+        copies = data.column("copies").to_numpy()
+        if (copies > 1).any():
+            data = data.take(pa.array(np.repeat(np.arange(data.num_rows), copies)))
         size = data.column("size").to_numpy()
         source, shard, words, blocks, quota, passes = (data.column(c)[0].as_py() for c in ("source", "shard", "words", "blocks", "quota", "passes"))
         end = np.cumsum(size)
@@ -193,7 +195,7 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32,
     return planned.groupBy("source", "shard").applyInArrow(take, "doc_id long, size long, source_size long, target double, taken long")
 
 
-def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32, rows_per_shard: int = 65536, words_per_shard: int = 1 << 22, seed: int = 7) -> DataFrame:
+def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32, rows_per_shard: int = 65536, words_per_shard: int = 1 << 20, seed: int = 7) -> DataFrame:
     """The mix as documents: a row per whole pass over a document, and one with the words of its drawn blocks.
 
     Columns are those of ``docs`` (doc_id, text, lang, source, n_chars); n_chars is that of the row's text.
@@ -211,7 +213,9 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, bloc
 
     def take(data: pa.Table) -> pa.Table:
         data = data.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
-        data = data.take(pa.array(np.repeat(np.arange(data.num_rows), data.column("copies").to_numpy())))
+        copies = data.column("copies").to_numpy()
+        if (copies > 1).any():
+            data = data.take(pa.array(np.repeat(np.arange(data.num_rows), copies)))
         size = data.column("size").to_numpy()
         source, shard, words, blocks, quota, passes = (data.column(c)[0].as_py() for c in ("source", "shard", "words", "blocks", "quota", "passes"))
         starts, ends = drawn(blocks, quota, words, _seed(seed, source, shard))
@@ -231,6 +235,7 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, bloc
                 for column, value in zip(out.values(), (doc, t, lang)):
                     column.append(value)
         n = len(out["doc_id"])
+        give_back()
         return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "text": pa.array(out["text"], pa.string()), "lang": pa.array(out["lang"], pa.string()), "source": pa.array([source] * n, pa.string()), "n_chars": pa.array([len(t) for t in out["text"]], pa.int64())})
 
     return planned.groupBy("source", "shard").applyInArrow(take, "doc_id long, text string, lang string, source string, n_chars long")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quillspark.llm.common import as_batch, batches, checkpointed
+from quillspark.llm.common import as_batch, batches, checkpointed, give_back
 
 CAPACITY, END_ID, ROWS_PER_TASK = 1024, 2, 65536
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,8 @@ class FastTokenizer:
             plain = Tokenizer.from_file(path)  # not kept: it takes more memory than the other
             special = {t.content: i for i, t in plain.get_added_tokens_decoder().items()}
             if set(merges.values()) | set(special.values()) == set(range(plain.get_vocab_size())):
+                del plain
+                give_back()
                 self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens=special)
 
     def ids(self, text: str) -> np.ndarray:
