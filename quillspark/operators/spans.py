@@ -14,18 +14,17 @@ from pyspark.sql.window import Window
 def without_overlaps(mentions: DataFrame, kept: DataFrame, section: str = "section_id") -> DataFrame:
     """Rows of ``mentions`` that overlap no row of ``kept`` in their section (spans are not empty).
 
-    A sweep by start: a kept span that begins no later overlaps if its end lies beyond the mention's start, one that
-    begins later if it begins before the mention's end. So two running extremes decide, and a section of n spans costs
-    one sort. Null sections never overlap.
+    A sweep by position: a mention overlaps if, of the kept spans that begin before its end, the furthest end lies beyond
+    its start. Kept spans stand at their start, mentions at their end, and one running maximum decides, so a section of n
+    spans costs one sort and one pass. Kept spans of one start count by their furthest end. Null sections never overlap.
     """
     rest = F.struct(*[F.col(f"`{c}`") for c in mentions.columns])
-    both = mentions.select(F.col(section).alias("sec"), F.col("start").alias("a"), F.col("end").alias("b"), rest.alias("row")).unionByName(kept.where(F.col(section).isNotNull()).select(F.col(section).alias("sec"), F.col("start").alias("a"), F.col("end").alias("b")), allowMissingColumns=True)
-    w = Window.partitionBy("sec").orderBy("a")
-    held = F.col("row").isNull()
-    before = F.max(F.when(held, F.col("b"))).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    after = F.min(F.when(held, F.col("a"))).over(w.rangeBetween(1, Window.unboundedFollowing))
-    swept = both.select("row", "a", "b", before.alias("before"), after.alias("after")).where("row is not null")
-    return swept.where(~(F.coalesce(F.col("before") > F.col("a"), F.lit(False)) | F.coalesce(F.col("after") < F.col("b"), F.lit(False)))).select("row.*")
+    furthest = kept.where(F.col(section).isNotNull() & F.col("start").isNotNull()).groupBy(F.col(section).alias("sec"), F.col("start").alias("at")).agg(F.max("end").alias("b"))
+    both = mentions.select(F.col(section).alias("sec"), F.col("end").alias("at"), F.col("start").alias("a"), rest.alias("row")).unionByName(furthest, allowMissingColumns=True)
+    # at one position the mention that ends there comes before the span that begins there: half-open spans that touch
+    w = Window.partitionBy("sec").orderBy("at", F.col("row").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    swept = both.select("row", "a", F.max("b").over(w).alias("reach")).where("row is not null")
+    return swept.where(~F.coalesce(F.col("reach") > F.col("a"), F.lit(False))).select("row.*")
 
 
 def merge_sources(gazetteer: DataFrame, models: DataFrame) -> DataFrame:

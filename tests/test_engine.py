@@ -48,6 +48,15 @@ def test_overlaps_against_brute_force(spark):
     assert spans.without_overlaps(empty, empty).count() == 0 and spans.merge_adjacent(empty).count() == 0
 
 
+def test_overlaps_of_a_section_are_one_running_sweep(spark):
+    """No frame runs to the end of the section: Spark computes such a frame anew for every row."""
+    rows = spark.createDataFrame([("s", 0, 4, "a", "e", "m", 1.0), ("s", 4, 6, "b", "e", "m", 1.0), ("s", 8, None, "c", "e", "m", 1.0)], MENTIONS)
+    kept = spark.createDataFrame([("s", 4, 5, "g", "e", "g", 1.0), ("s", None, 99, "n", "e", "g", 1.0)], MENTIONS)
+    got = spans.without_overlaps(rows, kept)
+    assert sorted(r.text for r in got.collect()) == ["a", "c"]
+    assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+
+
 def test_turtle_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     name = "Journal of X::ab12::cd34.ttl"
