@@ -279,6 +279,58 @@ def test_vectors_in_slices(spark):
     assert whole == sliced and {(a, b, c) for a, b, c, _ in whole} == {x for i in range(4) for x in sorted((w for w in want if w[0] == i), key=lambda w: (-w[2], w[1]))[:3]}
 
 
+def test_nearest_vectors_against_brute_force(spark):
+    """Ties, nulls, other lengths and repeated ids; no pair of query and entry is a row of a join."""
+    rng = random.Random(5)
+    rows = [(k // 2 * 2 if k % 50 == 1 else k, [rng.randrange(-4, 5) / 4 for _ in range(3)], k % 3) for k in range(300)]
+    rows += [(300, None, 0), (301, [1.0, None, 2.0], 1), (302, [1.0], 2), (303, [float("nan"), 1.0, 1.0], 0), (304, [0.0, 0.0, 0.0], None)]
+    e = spark.createDataFrame(rows, "entry long, vector array<double>, g int")
+    q = e.where("entry % 10 = 4 and entry < 300").withColumnRenamed("entry", "query")
+    pairs = link._scored(q, e, 2)
+    want = sorted(map(tuple, pairs.withColumn("rank", F.row_number().over(link.Window.partitionBy("query").orderBy(F.desc("score"), "entry"))).where("rank <= 4").collect()), key=repr)
+    for b in (1 << 20, 700):
+        top = link.top_k(q, e, 4, 2, most_bytes=b)
+        assert sorted(map(repr, map(tuple, top.collect()))) == list(map(repr, want))
+    assert not any(x in top._jdf.queryExecution().toString() for x in ("NestedLoop", "CartesianProduct"))
+    few = spark.createDataFrame([(1, None), (2, [1.0]), (3, None)], "entry long, vector array<double>")
+    assert [(r.entry, r.score) for r in link.top_k(few.where("entry = 2").withColumnRenamed("entry", "query"), few, 2).orderBy("rank").collect()] == [(2, 1.0), (1, None)]
+    clean = e.where("entry < 300").withColumnRenamed("entry", "qid")
+    ours = q.withColumnRenamed("query", "id")
+    found = ours.select("id", "g").distinct().join(clean, "g").where("id <> qid").drop("g")
+    slow = enrich.most_similar(ours.select("id", "vector"), found, 0.3, 2)
+    fast = enrich.most_similar_within(ours, clean, "g", 0.3, 2)
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect())) != []
+
+
+def test_equal_spans_are_matched_once(spark):
+    """Copies of a span don't multiply: the join sees each (section, span, text) once."""
+    rows = spark.createDataFrame([(f"k{i}", "s", 0, 4, "Wind" if i % 2 else "wind") for i in range(200)] + [("d", "s", 9, 11, "x"), ("d", "s", 1, 4, "WIND"), (None, "s", 0, 4, "wind")], "sample_id string, section_id string, start int, end int, text string")
+    mentions = spark.createDataFrame([("s", 0, 4, "Wind" if i % 2 else "wind", "E", "m", i / 8) for i in range(200)], MENTIONS)
+    made = spans.match_mentions(rows, mentions)
+    got = {(r.sample_id, r.start): (r.tier, r.m_start, r.m_score) for r in made.collect()}
+    assert len(got) == 203 and got["k7", 0] == (1, 0, 0.125) and got["d", 9] == got["d", 1] == (2, 0, 0.125) and got[None, 0] == (None, None, None)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_low") and "min(struct(m_text" in plan
+
+
+def test_batches_are_matched_in_slices():
+    import pyarrow as pa
+
+    batch = pa.record_batch({"section_id": [str(k) for k in range(7)], "text": ["a" * 40, None, "b" * 300, "", "c" * 90, "d" * 20, "e"]})
+    parts = list(gazetteer._slices(iter([batch, batch.slice(0, 0)]), 100))
+    assert [p.num_rows for p in parts] == [2, 1, 2, 2] and pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+
+
+def test_entries_of_one_concept_join_once(spark):
+    rows = [(str(i), "blue ring" if i % 2 else "Blue Ring", i) for i in range(400)] + [("z", "ringing", 999)]
+    vocab = spark.createDataFrame(rows, "id string, concept string, ord int")
+    terms = spark.createDataFrame([("a ring", 1), ("ringing", 1), ("nought", 1)], "term string, n int")
+    made = analytics.candidates(terms, vocab)
+    assert [r.id for r in made.where("term = 'a ring'").orderBy("rank").collect()] == list("01234") and [r.id for r in made.where("term = 'ringing'").collect()] == ["z"]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("WindowGroupLimit") == 3  # by concept, keyword and term
+    assert {r.term: r["class"] for r in analytics.classify_unlinked(terms, vocab).collect()} == {"a ring": "SYNONYM", "ringing": "SYNONYM", "nought": "UNKNOWN"}
+
+
 def test_samples_and_reports(spark):
     rows = [(f"k{i}", rng, f"t{i % 7}", "x" if i % 3 else None) for i, rng in enumerate("aabbbbccccccccc" * 4)]
     frame = spark.createDataFrame(rows, "k string, g string, text string, linked_id string")
