@@ -90,23 +90,25 @@ def match_mentions(samples: DataFrame, mentions: DataFrame, slack: int = 1) -> D
     """Each sample's mention: same span and text (tier 1), else both ends within ``slack`` and the same text (tier 2).
 
     Where samples have a ``model``, tier 1 also wants one model's name to hold the other's, case aside (a null or empty
-    one holds for all). The band becomes an equi-join on start, once per shift, so no range join over a section is
-    needed. The first mention by (start, end, text) wins within a tier; samples without one have nulls.
+    one holds for all). The first mention by (start, end, text) wins within a tier; samples without one have nulls, and
+    samples of one id share the best of all.
+
+    Equal spans of one text are matched once: of mentions the first text and score of each, of samples what they ask for.
+    The band is an equi-join of these on start, once per shift, so that neither copies nor a section make pairs of rows.
     """
-    shifts = F.array(*[F.lit(k) for k in range(-slack, slack + 1)])
-    s = samples.withColumn("_probe", F.explode(shifts)).withColumn("_probe", F.col("start") + F.col("_probe"))
     named = "model" in samples.columns and "model" in mentions.columns
-    extra = [F.lower("model").alias("m_model")] if named else []
-    m = mentions.select("section_id", F.col("start").alias("_probe"), F.col("end").alias("m_end"), F.col("text").alias("m_text"), F.col("score").alias("m_score"), *extra)
-    near = (F.abs(s["end"] - m["m_end"]) <= slack) & (F.lower(s["text"]) == F.lower(m["m_text"]))
-    hit = s.join(m, ["section_id", "_probe"]).where(near)
-    same = (F.col("_probe") == F.col("start")) & (F.col("m_end") == F.col("end"))
-    if named:
-        own, other = F.coalesce(F.lower("model"), F.lit("")), F.coalesce("m_model", F.lit(""))
-        same = same & (own.contains(other) | other.contains(own))
-    tier = F.when(same, 1).otherwise(2)
-    best = hit.groupBy("sample_id").agg(F.min(F.struct(tier.alias("tier"), F.col("_probe").alias("m_start"), "m_end", "m_text", "m_score")).alias("b"))
-    return samples.join(best, "sample_id", "left").select(*samples.columns, "b.tier", "b.m_start", "b.m_end", "b.m_score")
+    model = F.coalesce(F.lower("model"), F.lit("")) if named else F.lit("")
+    keys = ["_section", "_start", "_end", "_low", "_model"]
+    keyed = lambda frame: frame.select("*", *[c.alias(k) for c, k in zip((F.col("section_id"), F.col("start"), F.col("end"), F.lower("text"), model), keys)])
+    each = keyed(mentions).groupBy(F.col("_section"), F.col("_start").alias("m_start"), F.col("_end").alias("m_end"), F.col("_low"), F.col("_model").alias("m_model")).agg(F.min(F.struct(F.col("text").alias("m_text"), F.col("score").alias("m_score"))).alias("m"))
+    ours = keyed(samples)
+    shifts = F.array(*[F.lit(k) for k in range(-slack, slack + 1)])
+    asked = ours.select(*keys).distinct().withColumn("_shift", F.explode(shifts)).withColumn("m_start", F.col("_start") + F.col("_shift"))
+    hit = asked.join(each, ["_section", "m_start", "_low"]).where(F.abs(F.col("_end") - F.col("m_end")) <= slack)
+    same = (F.col("m_start") == F.col("_start")) & (F.col("m_end") == F.col("_end")) & (F.col("_model").contains(F.col("m_model")) | F.col("m_model").contains(F.col("_model")))
+    best = hit.groupBy(*keys).agg(F.min(F.struct(F.when(same, 1).otherwise(2).alias("tier"), "m_start", "m_end", "m.m_text", "m.m_score")).alias("_own"))
+    shared = F.when(F.col("sample_id").isNotNull(), F.min("_own").over(Window.partitionBy("sample_id"))).alias("_b")
+    return ours.join(best, keys, "left").select(*samples.columns, shared).select(*samples.columns, "_b.tier", "_b.m_start", "_b.m_end", "_b.m_score")
 
 
 def relabelled(mentions: DataFrame, types: DataFrame, model: str, kind: Column) -> DataFrame:
