@@ -41,13 +41,16 @@ def candidates(terms: DataFrame, vocab: DataFrame, most: int = 5) -> DataFrame:
     """(term, id, concept, rank): up to ``most`` entries whose concept holds one of the term's keywords.
 
     ``vocab``: id, concept, ord. The first keyword's entries come first, then load order. A keyword and a concept that
-    holds it share the keyword's first four letters: an equi-join on these leaves few pairs to look at.
+    holds it share the keyword's first four letters: an equi-join on these leaves few pairs to look at. Entries of one
+    concept are held by the same keywords, so only the first ``most`` of each concept go into it.
     """
     asked = terms.select("term").distinct().select("term", F.posexplode(keywords(F.col("term"))).alias("k", "word"))
     words = asked.select("word", F.substring("word", 1, 4).alias("g")).distinct()
     low = F.lower("concept")
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - 3), lambda i: F.substring(low, i, F.lit(4))))
-    entries = vocab.where(F.length("concept") > 3).select("id", "concept", "ord", F.explode(grams).alias("g"))
+    same = Window.partitionBy(low).orderBy("ord", "id")
+    heads = vocab.where(F.length("concept") > 3).select("id", "concept", "ord").withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= most)
+    entries = heads.select("id", "concept", "ord", F.explode(grams).alias("g"))
     held = words.join(entries, "g").where(F.lower("concept").contains(F.col("word"))).drop("g")
     first = Window.partitionBy("word").orderBy("ord", "id")
     few = held.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most).drop("_n")
@@ -59,7 +62,7 @@ def candidates(terms: DataFrame, vocab: DataFrame, most: int = 5) -> DataFrame:
 def classify_unlinked(terms: DataFrame, vocab: DataFrame, skipped: tuple[str, ...] = SKIPPED) -> DataFrame:
     """``terms`` (term, n) with class: SKIP (a term that names no disease), ABBREV (up to five letters and digits, hyphens
     aside), SYNONYM (an entry holds a keyword), MISSING (cancers and syndromes), UNKNOWN."""
-    hits = candidates(terms, vocab).select("term").distinct().withColumn("_hit", F.lit(True))
+    hits = candidates(terms, vocab, 1).select("term").distinct().withColumn("_hit", F.lit(True))
     t = F.lower("term")
     short = (F.length("term") <= 5) & F.replace("term", F.lit("-"), F.lit("")).rlike(r"^[\p{L}\p{N}]+$")
     shouted = (F.length("term") <= 5) & (F.col("term") == F.upper("term")) & (F.col("term") != t)
